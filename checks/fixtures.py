@@ -6,6 +6,8 @@ Whole tables only: all species, sites, hauls and records take part at every scal
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -169,3 +171,7 @@ def field_descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
         blank.alias("Date_added"),
         blank.alias("Date_discontinued"),
     )
+
+
+def replace_numbers(tables: SurveyTables, records: DataFrame) -> SurveyTables:
+    return dataclasses.replace(tables, numbers=records)
