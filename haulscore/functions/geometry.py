@@ -2,7 +2,7 @@
 
 A polygon layer is laid over a square grid. For each cell that a polygon's bounding box touches we keep
 just the edges that a ray, shot to the right from some point of that cell, can cross. A point looks up its
-own cell (an equality, so a hash join) and counts crossings among those few edges.
+own cell (one row per cell, so a hash join that adds no rows) and counts crossings among those few edges.
 
 Edges are half-open (lower end in, upper end out) and always run upwards, so two polygons that share
 an edge compute the same crossing for it and a point on it falls into exactly one of the two.
@@ -42,7 +42,7 @@ def cell_of(coordinate: Column, cell_size: float) -> Column:
 
 
 def grid_edges(segments: DataFrame, cell_size: float = CELL_SIZE) -> DataFrame:
-    """(bay_segment, cell_x, cell_y, edges) for every cell of each polygon's bounding box."""
+    """(cell_x, cell_y, candidates): one row per cell with the polygons near it and their edges there."""
     vertices = F.flatten("rings")
     boxed = segments.select(
         "bay_segment",
@@ -73,7 +73,12 @@ def grid_edges(segments: DataFrame, cell_size: float = CELL_SIZE) -> DataFrame:
     reachable = F.filter(
         "edges", lambda e: (e["y_low"] <= top) & (e["y_high"] >= bottom) & (e["x_max"] >= left)
     )
-    return cells.select("bay_segment", "cell_x", "cell_y", reachable.alias("edges")).filter(F.size("edges") > 0)
+    near = cells.select("cell_x", "cell_y", F.struct("bay_segment", reachable.alias("edges")).alias("candidate"))
+    return (
+        near.filter(F.size("candidate.edges") > 0)
+        .groupBy("cell_x", "cell_y")
+        .agg(F.collect_list("candidate").alias("candidates"))
+    )
 
 
 def inside(x: Column, y: Column, edges: Column) -> Column:

@@ -42,10 +42,10 @@ def sample_metrics(counts: DataFrame, sentinel: str = SENTINEL_SPECIES, dominanc
     proportions NULL. A haul without individuals has 0 in every metric.
     """
     attributes = [c for c in ATTRIBUTES if c in counts.columns]
-    haul = Window.partitionBy("Reference")
-    largest_first = haul.orderBy(F.desc("Total_N"), F.col("NODCCODE")).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
+    # Both frames share one ordering, so one sort serves the total, the running sum and the rank.
+    largest_first = Window.partitionBy("Reference").orderBy(F.desc("Total_N"), F.col("NODCCODE"))
+    so_far = largest_first.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = largest_first.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     total_n = F.col("Total_N")
     ranked = counts.select(
         "Reference",
@@ -57,10 +57,9 @@ def sample_metrics(counts: DataFrame, sentinel: str = SENTINEL_SPECIES, dominanc
         F.coalesce("Feeding_Guild", F.lit("")).alias("guild"),
         *[F.coalesce(F.col(column) == code, F.lit(False)).alias(f"is_{name}") for name, column, code in GUILD_FLAGS],
         "Total_N",
-        ratio(total_n, F.sum("Total_N").over(haul)).alias("p"),
-        F.row_number().over(haul.orderBy(F.desc("Total_N"), F.col("NODCCODE"))).alias("rank"),
-        ratio(F.sum("Total_N").over(largest_first), F.sum("Total_N").over(haul)).alias("running_p"),
-        F.sum(F.when(total_n.isNull(), 1).otherwise(0)).over(haul).alias("missing"),
+        F.when(F.count("Total_N").over(whole) == F.count(F.lit(1)).over(whole), F.sum("Total_N").over(whole)).alias("total"),
+        F.sum("Total_N").over(so_far).alias("running"),
+        F.row_number().over(largest_first).alias("rank"),
     )
 
     def taxa(flag: str) -> Column:
@@ -72,17 +71,18 @@ def sample_metrics(counts: DataFrame, sentinel: str = SENTINEL_SPECIES, dominanc
     def missing(flag: str) -> Column:
         return F.count(F.when(F.col(flag) & total_n.isNull(), 1))
 
-    complete = F.max("missing") == 0
-    p = F.when(F.col("missing") == 0, F.col("p"))
+    complete = F.count("total") > 0
+    p = ratio(total_n, F.col("total"))
+    reached = ratio(F.col("running"), F.col("total")) >= dominance
     base = ranked.groupBy("Reference", *attributes).agg(
         taxa("is_taxon").alias("NumTaxa"),
-        F.when(complete, F.sum("Total_N")).alias("NumIndiv"),
+        F.max("total").alias("NumIndiv"),
         (F.lit(0.0) - F.sum(p * F.ln(p))).alias("Shannon"),
         ratio(F.lit(1.0), F.sum(p * p)).alias("Simpson"),
         F.when(F.count("selection_known") == F.count(F.lit(1)), taxa("is_selected")).alias("TaxaSelect"),
         F.when(missing("is_selected") == 0, individuals("is_selected")).otherwise(0.0).alias("SelectIndiv"),
         F.count_distinct("guild").cast("double").alias("NumGuilds"),
-        F.when(complete, F.min(F.when(F.col("running_p") >= dominance, F.col("rank")))).cast("double").alias("Taxa90"),
+        F.min(F.when(reached, F.col("rank"))).cast("double").alias("Taxa90"),
         *[taxa(f"is_{name}").alias(f"{name}Taxa") for name, _, _ in GUILD_FLAGS],
         *[F.when(complete, individuals(f"is_{name}")).alias(f"{name}Abund") for name, _, _ in GUILD_FLAGS],
         F.when(missing("is_sentinel") == 0, individuals("is_sentinel")).otherwise(0.0).alias("Num_LR"),

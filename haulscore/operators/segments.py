@@ -21,14 +21,13 @@ def assign_segments(sites: DataFrame, segments: DataFrame, cell_size: float = CE
     ``cell_size`` is in the units of the coordinates; a layer should span some hundreds of cells.
     """
     cells = settle(grid_edges(segments, cell_size), "segment-cells")
-    placed = sites.withColumns(
-        {
-            "cell_x": cell_of(F.col("Longitude"), cell_size),
-            "cell_y": cell_of(F.col("Latitude"), cell_size),
-        }
+    x, y = F.col("Longitude"), F.col("Latitude")
+    placed = sites.withColumns({"cell_x": cell_of(x, cell_size), "cell_y": cell_of(y, cell_size)})
+    found = F.filter("candidates", lambda c: inside(x, y, c["edges"]))
+    names = F.transform(found, lambda c: c["bay_segment"])
+    return lookup_join(placed, cells, ["cell_x", "cell_y"], "left").select(
+        *sites.columns, F.explode_outer(names).alias("bay_segment")
     )
-    within = inside(F.col("Longitude"), F.col("Latitude"), F.col("edges"))
-    return lookup_join(placed, cells, ["cell_x", "cell_y"], "left", also=within).drop("cell_x", "cell_y", "edges")
 
 
 def override_segments(
