@@ -3,8 +3,9 @@
 1. A mergeable sketch per group brackets each wanted rank: the exact value lies between two sketch values
    whose ranks differ by a small fraction of the group.
 2. One pass of plain sums counts the values below each bracket and up to its end, which proves the bracket.
-3. Values inside the bracket are counted by value (combined before the shuffle, so repeated values collapse)
-   and the few that remain are ranked.
+   A proven bracket of one value is the answer already, as it mostly is for counts.
+3. Values inside the other brackets are counted by value (combined before the shuffle, so repeated values
+   collapse) and the few that remain are ranked.
 
 A bracket that step 2 does not prove is widened to the whole group, so the result is exact in any case.
 That happens only to groups of fewer than about 20,000 rows: beyond it the sketch's error bound is smaller than
@@ -15,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..runtime import lookup_join, settle
@@ -30,103 +31,118 @@ def prob_label(prob: float) -> str:
 
 
 def _attach(frame: DataFrame, small: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Put each row's group values beside it; without groups they are those of the only row."""
     if by:
         return lookup_join(frame, small, by, "inner", null_safe=True)
-    row = small.first()
-    types = {field.name: field.dataType for field in small.schema}
-    return frame.withColumns({name: F.lit(row[name]).cast(types[name]) for name in small.columns})
+    row = small.first() or dict.fromkeys(small.columns)
+    return frame.withColumns({f.name: F.lit(row[f.name]).cast(f.dataType) for f in small.schema})
 
 
 def exact_quantiles(
     frame: DataFrame, by: Sequence[str], values: Sequence[str], probs: Sequence[float]
 ) -> DataFrame:
-    """One row per group with a column ``<value>_P<100p>`` per value and probability; NULLs are skipped,
-    and a group without any value has no row.
+    """One row per group with a column ``<value>_P<100p>`` per value and probability; NULLs are skipped.
 
     ``frame`` is read three times: give it a scan or a settled frame.
     """
     by, values, probs = list(by), list(values), list(probs)
-    wanted = [(v, i) for v in range(len(values)) for i in range(len(probs))]
-    data = frame.select(*by, *[F.col(c).cast("double").alias(f"v{v}") for v, c in enumerate(values)])
+    keys = [f"`{c}`" for c in by]
+    columns = range(len(values))
+    wanted = [(v, i) for v in columns for i in range(len(probs))]
+    data = frame.selectExpr(*keys, *[f"CAST(`{c}` AS DOUBLE) AS v{v}" for v, c in enumerate(values)])
 
-    edges = [edge for p in probs for edge in (max(p - REACH, 0.0), min(p + REACH, 1.0))]
+    ends = ", ".join(f"{max(p - REACH, 0.0)}D, {min(p + REACH, 1.0)}D" for p in probs)
     sketch = data.groupBy(*by).agg(
-        *[F.count(f"v{v}").alias(f"n{v}") for v in range(len(values))],
-        *[F.percentile_approx(f"v{v}", edges, ACCURACY).alias(f"edges{v}") for v in range(len(values))],
+        *[F.expr(f"count(v{v})").alias(f"n{v}") for v in columns],
+        *[F.expr(f"percentile_approx(v{v}, array({ends}), {ACCURACY})").alias(f"ends{v}") for v in columns],
     )
     brackets = settle(
-        sketch.select(
-            *by,
-            *[f"n{v}" for v in range(len(values))],
-            *[F.col(f"edges{v}")[2 * i].alias(f"low{v}_{i}") for v, i in wanted],
-            *[F.col(f"edges{v}")[2 * i + 1].alias(f"high{v}_{i}") for v, i in wanted],
+        sketch.selectExpr(
+            *keys,
+            *[f"n{v}" for v in columns],
+            *[f"ends{v}[{2 * i}] AS low{v}_{i}" for v, i in wanted],
+            *[f"ends{v}[{2 * i + 1}] AS high{v}_{i}" for v, i in wanted],
         ),
         "quantile-brackets",
     )
 
-    bracketed = _attach(data, brackets, by)
-    sums: list[Column] = []
-    for v, i in wanted:
-        value = F.col(f"v{v}")
-        sums.append(F.count(F.when(value < F.col(f"low{v}_{i}"), 1)).alias(f"below{v}_{i}"))
-        sums.append(F.count(F.when(value <= F.col(f"high{v}_{i}"), 1)).alias(f"upto{v}_{i}"))
-    counted = bracketed.groupBy(*by, *[c for c in brackets.columns if c not in by]).agg(*sums)
-
-    proven = {}
-    for v, i in wanted:
-        position = (F.col(f"n{v}") - 1) * F.lit(float(probs[i]))
-        rank = F.floor(position)
-        last = F.least(rank + 1, F.col(f"n{v}") - 1)
-        holds = (F.col(f"below{v}_{i}") <= rank) & (F.col(f"upto{v}_{i}") > last)
-        proven[f"position{v}_{i}"] = position
-        proven[f"base{v}_{i}"] = F.when(holds, F.col(f"below{v}_{i}")).otherwise(F.lit(0))
-        proven[f"low{v}_{i}"] = F.when(holds, F.col(f"low{v}_{i}")).otherwise(F.lit(float("-inf")))
-        proven[f"high{v}_{i}"] = F.when(holds, F.col(f"high{v}_{i}")).otherwise(F.lit(float("inf")))
-    # Spark orders NaN above infinity; as in the sums, NaN counts as the largest value.
-    plan = settle(counted.select(*by, *[c.alias(name) for name, c in proven.items()]), "quantile-ranks")
-
-    located = _attach(data, plan, by)
-    candidates = F.array(
+    counted = (
+        _attach(data, brackets, by)
+        .groupBy(*brackets.columns)
+        .agg(
+            *[F.expr(f"count_if(v{v} < low{v}_{i})").alias(f"below{v}_{i}") for v, i in wanted],
+            *[F.expr(f"count_if(v{v} <= high{v}_{i})").alias(f"upto{v}_{i}") for v, i in wanted],
+        )
+    )
+    ranked = counted.selectExpr(
+        "*",
+        *[f"(n{v} - 1) * {probs[i]}D AS position{v}_{i}" for v, i in wanted],
+        *[f"floor((n{v} - 1) * {probs[i]}D) AS rank{v}_{i}" for v, i in wanted],
+    )
+    proven = ranked.selectExpr(
+        "*",
         *[
-            F.when(
-                F.col(f"v{v}").between(F.col(f"low{v}_{i}"), F.col(f"high{v}_{i}")),
-                F.struct(
-                    F.lit(v).alias("metric"),
-                    F.lit(i).alias("prob"),
-                    F.col(f"v{v}").alias("value"),
-                    F.col(f"base{v}_{i}").alias("base"),
-                    F.col(f"position{v}_{i}").alias("position"),
-                ),
-            )
+            f"below{v}_{i} <= rank{v}_{i} AND upto{v}_{i} > least(rank{v}_{i} + 1, n{v} - 1) AS holds{v}_{i}"
             for v, i in wanted
-        ]
+        ],
+    )
+    # One struct per bracket that still has to be searched; NULL where its value is known.
+    plan = settle(
+        proven.selectExpr(
+            *keys,
+            *[f"IF(holds{v}_{i} AND low{v}_{i} = high{v}_{i}, low{v}_{i}, NULL) AS known{v}_{i}" for v, i in wanted],
+            *[
+                f"CASE WHEN holds{v}_{i} AND low{v}_{i} = high{v}_{i} THEN NULL "
+                f"WHEN holds{v}_{i} THEN low{v}_{i} ELSE CAST('-Infinity' AS DOUBLE) END AS low{v}_{i}"
+                for v, i in wanted
+            ],
+            *[f"IF(holds{v}_{i}, high{v}_{i}, CAST('Infinity' AS DOUBLE)) AS high{v}_{i}" for v, i in wanted],
+            *[f"IF(holds{v}_{i}, below{v}_{i}, 0L) AS base{v}_{i}" for v, i in wanted],
+            *[f"position{v}_{i}" for v, i in wanted],
+        ),
+        "quantile-ranks",
+    )
+
+    searched = {(v, i): f"v{v} BETWEEN low{v}_{i} AND high{v}_{i}" for v, i in wanted}
+    candidates = ", ".join(
+        f"IF({test}, named_struct('v', {v}, 'i', {i}, 'value', v{v}, 'base', base{v}_{i}, 'position', position{v}_{i}), NULL)"
+        for (v, i), test in searched.items()
     )
     inside = (
-        located.select(*by, F.explode(F.filter(candidates, lambda c: c.isNotNull())).alias("c"))
-        .groupBy(*by, "c.metric", "c.prob", "c.value", "c.base", "c.position")
-        .agg(F.count(F.lit(1)).alias("copies"))
+        _attach(data, plan, by)
+        .filter(" OR ".join(f"coalesce({test}, false)" for test in searched.values()))
+        .selectExpr(*keys, f"inline(filter(array({candidates}), c -> c IS NOT NULL))")
+        .groupBy(*by, "v", "i", "value", "base", "position")
+        .agg(F.expr("count(1)").alias("copies"))
     )
-    order = Window.partitionBy(*by, "metric", "prob").orderBy("value")
-    end = F.col("base") + F.sum("copies").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = inside.withColumn("end", end).withColumn("start", F.col("end") - F.col("copies"))
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when((F.col("start") <= rank) & (rank < F.col("end")), F.col("value")))
-
-    floor = F.floor("position")
-    picked = ranked.groupBy(*by, "metric", "prob").agg(
-        at(floor).alias("lower"),
-        at(floor + 1).alias("upper"),
-        F.max(F.col("position") - floor).alias("part"),
+    group = ", ".join([*keys, "v", "i"])
+    placed = inside.selectExpr(
+        *keys,
+        "v",
+        "i",
+        "value",
+        "position",
+        "floor(position) AS rank",
+        "copies",
+        f"base + sum(copies) OVER (PARTITION BY {group} ORDER BY value ROWS UNBOUNDED PRECEDING) AS stop",
     )
-    value = F.when(F.col("part") == 0, F.col("lower")).otherwise(
-        (1 - F.col("part")) * F.col("lower") + F.col("part") * F.col("upper")
+    found = (
+        placed.groupBy(*by, "v", "i")
+        .agg(
+            F.expr("max(IF(rank >= stop - copies AND rank < stop, value, NULL))").alias("lower"),
+            F.expr("max(IF(rank + 1 >= stop - copies AND rank + 1 < stop, value, NULL))").alias("upper"),
+            F.expr("max(position - rank)").alias("part"),
+        )
+        .selectExpr(*keys, "v", "i", "IF(part = 0, lower, (1 - part) * lower + part * upper) AS value")
     )
-    return picked.groupBy(*by).agg(
-        *[
-            F.max(F.when((F.col("metric") == v) & (F.col("prob") == i), value)).alias(
-                f"{values[v]}_{prob_label(probs[i])}"
-            )
-            for v, i in wanted
-        ]
+    known = ", ".join(f"named_struct('v', {v}, 'i', {i}, 'value', known{v}_{i})" for v, i in wanted)
+    return (
+        found.unionByName(plan.selectExpr(*keys, f"inline(array({known}))"))
+        .groupBy(*by)
+        .agg(
+            *[
+                F.expr(f"max(IF(v = {v} AND i = {i}, value, NULL))").alias(f"{values[v]}_{prob_label(probs[i])}")
+                for v, i in wanted
+            ]
+        )
     )
