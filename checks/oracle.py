@@ -374,7 +374,7 @@ ORACLE: dict[str, str] = {
               FROM species WHERE Include_Index = 'Y' AND NODCCODE <> '9998000000')
         WHERE NOT known GROUP BY item
         UNION ALL
-        SELECT 'zero_count', 'Number', count(*) FROM seg_catch WHERE Number = 0 AND NODCCODE <> '9998000000' HAVING count(*) > 0
+        SELECT 'zero_count', 'Number', count(*) FROM seg_catch WHERE Number = 0 AND NODCCODE NOT IN ('9998000000', '9999000000') HAVING count(*) > 0
         UNION ALL
         SELECT 'mixed_no_fish', 'Reference', count(*)
         FROM (SELECT Reference FROM seg_catch GROUP BY Reference

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import CLASS_CODES, NO_FISH
+from ..constants import CLASS_CODES, NO_FISH, NO_GEAR_SET
 from ..functions.expressions import as_number, normalize_code
 
 ATTRIBUTES = ("Sampling_Date", "Longitude", "Latitude", "Zone", "Grid", "bay_segment")
@@ -39,7 +39,7 @@ def quality_report(catch: DataFrame, species: DataFrame, attributes: Sequence[st
             ("null_value", "Number"): F.col("Number").isNull(),
             ("null_value", "Sampling_Date"): F.col("Sampling_Date").isNull(),
             ("split_without_level", "Splitlevel"): split,
-            ("zero_count", "Number"): (F.col("Number") == 0) & (F.col("NODCCODE") != NO_FISH),
+            ("zero_count", "Number"): (F.col("Number") == 0) & ~F.col("NODCCODE").isin(NO_FISH, NO_GEAR_SET),
         },
     )
     odd_codes = rows(
