@@ -29,63 +29,102 @@ METRICS = [
     "Num_LR",
     *PROPORTIONS,
 ]
+# Marks a missing amount inside a sum, which it makes NaN: one running value does for sum and check.
+MISSING = float("nan")
 ATTRIBUTES = ("Year", "Month", "bay_segment", "Longitude", "Latitude")
 
 
-def sample_metrics(counts: DataFrame, sentinel: str = SENTINEL_SPECIES, dominance: float = 0.9) -> DataFrame:
+def sample_metrics(
+    counts: DataFrame, sentinel: str = SENTINEL_SPECIES, dominance: float = 0.9, collapse: bool = False
+) -> DataFrame:
     """One row per haul with all metrics, from one row per haul and species.
 
-    One shuffle by haul serves the windows (total, running sum, rank) and the aggregate. A haul has at most
-    one row per species of the class table here, so no group grows with the data.
+    One shuffle by haul serves the window (total, running sums) and the aggregate. A haul has at most one row per
+    species of the class table here. Where that table has no small bound, ``collapse`` first counts equal
+    rows of a haul, for one more shuffle: then a haul has at most a row per distinct total and class, and n
+    distinct totals take n(n+1)/2 individuals.
 
     Missing totals follow the sums they enter: one NULL total makes a haul's NumIndiv, abundances, diversity and
     proportions NULL. A haul without individuals has 0 in every metric.
     """
     attributes = [c for c in ATTRIBUTES if c in counts.columns]
-    # Both frames share one ordering, so one sort serves the total, the running sum and the rank.
-    largest_first = Window.partitionBy("Reference").orderBy(F.desc("Total_N"), F.col("NODCCODE"))
-    so_far = largest_first.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = largest_first.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    total_n = F.col("Total_N")
-    ranked = counts.select(
+
+    def flag(test: Column, name: str) -> Column:
+        return F.coalesce(test, F.lit(False)).alias(name)
+
+    rows = counts.select(
         "Reference",
         *attributes,
-        (F.col("NODCCODE") != NO_FISH).alias("is_taxon"),
-        (F.col("Scientificname") == sentinel).alias("is_sentinel"),
-        (F.col("Selected_Taxa") == "Y").alias("is_selected"),
-        F.when(F.col("Selected_Taxa").isin("Y", "N"), 1).alias("selection_known"),
+        flag(F.col("NODCCODE") != NO_FISH, "is_taxon"),
+        flag(F.col("Scientificname") == sentinel, "is_sentinel"),
+        flag(F.col("Selected_Taxa") == "Y", "is_selected"),
+        F.when(F.col("Selected_Taxa") == "Y", 1.0)
+        .when(F.col("Selected_Taxa") == "N", 0.0)
+        .otherwise(MISSING)
+        .alias("selection"),
         F.coalesce("Feeding_Guild", F.lit("")).alias("guild"),
-        *[F.coalesce(F.col(column) == code, F.lit(False)).alias(f"is_{name}") for name, column, code in GUILD_FLAGS],
+        *[flag(F.col(column) == code, f"is_{name}") for name, column, code in GUILD_FLAGS],
         "Total_N",
-        F.when(F.count("Total_N").over(whole) == F.count(F.lit(1)).over(whole), F.sum("Total_N").over(whole)).alias("total"),
-        F.sum("Total_N").over(so_far).alias("running"),
-        F.row_number().over(largest_first).alias("rank"),
     )
+    if collapse:
+        rows = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("taxa"))
+    total_n = F.col("Total_N")
+    # Without collapsing each row is one taxon.
+    taxa = F.col("taxa") if collapse else F.lit(1)
+
+    def times_taxa(value: Column) -> Column:
+        return taxa * value if collapse else value
+
+    stock = times_taxa(total_n)
+
+    # All frames share one ordering, so one sort serves them. Ties give the same results in any order.
+    largest_first = Window.partitionBy("Reference").orderBy(F.desc("Total_N"))
+    so_far = largest_first.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = largest_first.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    all_counted = F.count("Total_N").over(whole) == F.count(F.lit(1)).over(whole)
+    ranked = rows.select(
+        "*",
+        F.when(all_counted, F.sum(stock).over(whole)).alias("total"),
+        F.sum(stock).over(so_far).alias("stock_through"),
+        (F.sum(taxa).over(so_far) if collapse else F.row_number().over(largest_first)).alias("taxa_through"),
+    )
+    total, taxa_needed = F.col("total"), F.col("taxa_through")
+    if collapse:
+        # Of a row's equal taxa only so many are needed; the estimate may be off by one in its last bit.
+        before = F.col("stock_through") - stock
+        estimate = F.ceil(ratio(dominance * total - before, total_n))
+
+        def enough(taken: Column) -> Column:
+            return ratio(before + taken * total_n, total) >= dominance
+
+        taken = F.when(enough(estimate - 1), estimate - 1).when(enough(estimate), estimate).otherwise(estimate + 1)
+        taxa_needed = taxa_needed - taxa + F.greatest(taken, F.lit(1))
 
-    def taxa(flag: str) -> Column:
-        return F.sum(F.when(F.col(flag), 1).otherwise(0)).cast("double")
+    def number(name: str) -> Column:
+        return F.sum(F.when(F.col(name), taxa).otherwise(0)).cast("double")
 
-    def individuals(flag: str) -> Column:
-        return F.sum(F.when(F.col(flag), total_n).otherwise(0.0))
+    def individuals(name: str, of: Column = stock) -> Column:
+        return F.sum(F.when(F.col(name), of).otherwise(0.0))
 
-    def missing(flag: str) -> Column:
-        return F.count(F.when(F.col(flag) & total_n.isNull(), 1))
+    def or_zero(amount: Column) -> Column:
+        return F.nanvl(amount, F.lit(0.0))
 
-    complete = F.count("total") > 0
-    p = ratio(total_n, F.col("total"))
-    reached = ratio(F.col("running"), F.col("total")) >= dominance
+    marked_stock = F.coalesce(stock, F.lit(MISSING))
+    taxa_select = F.sum(times_taxa(F.col("selection")))
+    complete = F.max("total").isNotNull()
+    p = ratio(total_n, total)
     base = ranked.groupBy("Reference", *attributes).agg(
-        taxa("is_taxon").alias("NumTaxa"),
+        number("is_taxon").alias("NumTaxa"),
         F.max("total").alias("NumIndiv"),
-        (F.lit(0.0) - F.sum(p * F.ln(p))).alias("Shannon"),
-        ratio(F.lit(1.0), F.sum(p * p)).alias("Simpson"),
-        F.when(F.count("selection_known") == F.count(F.lit(1)), taxa("is_selected")).alias("TaxaSelect"),
-        F.when(missing("is_selected") == 0, individuals("is_selected")).otherwise(0.0).alias("SelectIndiv"),
+        (F.lit(0.0) - F.sum(times_taxa(p * F.ln(p)))).alias("Shannon"),
+        ratio(F.lit(1.0), F.sum(times_taxa(p * p))).alias("Simpson"),
+        F.when(~F.isnan(taxa_select), taxa_select).alias("TaxaSelect"),
+        or_zero(individuals("is_selected", marked_stock)).alias("SelectIndiv"),
         F.count_distinct("guild").cast("double").alias("NumGuilds"),
-        F.min(F.when(reached, F.col("rank"))).cast("double").alias("Taxa90"),
-        *[taxa(f"is_{name}").alias(f"{name}Taxa") for name, _, _ in GUILD_FLAGS],
+        F.min(F.when(ratio(F.col("stock_through"), total) >= dominance, taxa_needed)).cast("double").alias("Taxa90"),
+        *[number(f"is_{name}").alias(f"{name}Taxa") for name, _, _ in GUILD_FLAGS],
         *[F.when(complete, individuals(f"is_{name}")).alias(f"{name}Abund") for name, _, _ in GUILD_FLAGS],
-        F.when(missing("is_sentinel") == 0, individuals("is_sentinel")).otherwise(0.0).alias("Num_LR"),
+        or_zero(individuals("is_sentinel", marked_stock)).alias("Num_LR"),
     )
     derived = base.withColumns(
         {

@@ -24,7 +24,7 @@ from ..operators.reference import reference_conditions
 from ..operators.rollup import segment_scores, yearly_scores
 from ..operators.scoring import index_scores, metric_scores
 from ..operators.segments import assign_segments, override_segments
-from ..runtime import lookup_join, settle
+from ..runtime import fits_broadcast, lookup_join, settle
 
 
 @dataclass(frozen=True)
@@ -97,9 +97,14 @@ def survey_counts(tables: SurveyTables, settings: IndexSettings) -> DataFrame:
 
 
 def haul_metrics(tables: SurveyTables, settings: IndexSettings) -> DataFrame:
-    """One row of metrics per selected haul; the join is one to one and on the key the metrics already sit by."""
+    """One row of metrics per selected haul; the join is one to one and on the key the metrics already sit by.
+
+    A class table small enough to broadcast bounds the rows of a haul; beyond it equal rows are collapsed first.
+    """
     hauls = survey_hauls(tables, settings)
-    metrics = sample_metrics(survey_counts(tables, settings), settings.sentinel)
+    metrics = sample_metrics(
+        survey_counts(tables, settings), settings.sentinel, collapse=not fits_broadcast(tables.species)
+    )
     return metrics.join(hauls, "Reference", "inner").select(*hauls.columns, *METRICS)
 
 

@@ -120,7 +120,8 @@ def brute(records):
     return out
 
 
-def test_random_hauls_against_plain_python(spark):
+@pytest.mark.parametrize("collapse", [False, True])
+def test_random_hauls_against_plain_python(spark, collapse):
     generator = random.Random(11)
     hauls = {
         f"h{i}": [(c, generator.choice([0, 1, 1, 2, 7, 300])) for c in generator.sample(sorted(CODES), generator.randint(1, len(CODES)))]
@@ -128,7 +129,7 @@ def test_random_hauls_against_plain_python(spark):
     }
     records = [(h, c, n) for h, kept in hauls.items() for c, n in kept]
     frame = counts(spark, records)
-    got = {r["Reference"]: r.asDict() for r in sample_metrics(frame, "Alpha").collect()}
+    got = {r["Reference"]: r.asDict() for r in sample_metrics(frame, "Alpha", collapse=collapse).collect()}
     assert len(got) == len(hauls)
     for haul, kept in hauls.items():
         want = brute(kept)
@@ -144,6 +145,22 @@ def test_random_hauls_against_plain_python(spark):
         assert shuffled[haul] == pytest.approx(got[haul])
 
 
+def test_many_equal_taxa_are_one_row_when_collapsed(spark):
+    """A haul with thousands of species, most of them with one of a few totals."""
+    totals = [1.0] * 3000 + [2.0] * 500 + [1000.0] * 3 + [3.0]
+    frame = spark.createDataFrame([("a", f"{i}", t, f"S{i}", "B", "MS", "O", "TS", "ZB", "N") for i, t in enumerate(totals)],
+        "Reference string, NODCCODE string, Total_N double, Scientificname string, Hab_Cat string, Est_Cat string, "
+        "Est_Use string, Feeding_Cat string, Feeding_Guild string, Selected_Taxa string")
+    share, running = sorted(totals, reverse=True), 0.0
+    for place, n in enumerate(share, 1):
+        running += n
+        if running / sum(totals) >= 0.9:
+            break
+    wide, narrow = (sample_metrics(frame, collapse=c).first().asDict() for c in (False, True))
+    assert wide["Taxa90"] == narrow["Taxa90"] == place
+    assert wide == pytest.approx(narrow)
+
+
 def test_joining_metric_tables_gives_the_same(spark):
     frame = counts(spark, [("a", "100", 5), ("a", "200", 5), ("b", "200", 4)])
     total = frame.groupBy("Reference").agg(F.sum("Total_N").alias("NumIndiv"))
