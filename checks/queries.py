@@ -62,12 +62,18 @@ def _catch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_catch(_samples(spark, sf_dir), tables.numbers, tables.species_list)
 
 
+def _placed(spark: SparkSession, catch: DataFrame) -> DataFrame:
+    return assign_segments(distinct_sites(catch), fx.segments(spark), fx.CELL_SIZE)
+
+
 def _assigned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assign_segments(distinct_sites(_catch(spark, sf_dir)), fx.segments(spark), fx.CELL_SIZE)
+    return _placed(spark, _catch(spark, sf_dir))
 
 
 def _catch_with_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return attach_segments(_catch(spark, sf_dir), override_segments(_assigned(spark, sf_dir)))
+    """The catch table is read for its sites and again for its records, so it is written in between."""
+    catch = settle(_catch(spark, sf_dir), "catch")
+    return attach_segments(catch, override_segments(_placed(spark, catch)))
 
 
 def _all_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,7 +246,7 @@ def query_expanded_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def query_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_report(_catch_with_segments(spark, sf_dir), fx.species(spark, sf_dir))
+    return quality_report(settle(_catch_with_segments(spark, sf_dir), "catch-segments"), fx.species(spark, sf_dir))
 
 
 def query_field_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
