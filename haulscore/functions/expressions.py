@@ -33,9 +33,12 @@ def null_keeping_avg(value: Column) -> Column:
 
 
 def as_number(text: Column) -> Column:
-    """Text to double; NULL where the text is no number."""
-    number = text.try_cast("double")
-    return F.when(~F.isnan(number), number)
+    """Text to double; NULL where the text is no decimal number.
+
+    The pattern test goes first because a failing cast raises and drops an exception for each value.
+    """
+    decimal = text.rlike(r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$")
+    return F.when(decimal, text.try_cast("double"))
 
 
 def normalize_code(code: Column) -> Column:
@@ -43,7 +46,7 @@ def normalize_code(code: Column) -> Column:
     text = code.cast("string")
     # A substring test first: undamaged codes, nearly all of them, cost no parsing.
     damaged = text.contains("e+") | text.contains("E+")
-    digits = text.try_cast("double").try_cast("decimal(20,0)").cast("string")
+    digits = as_number(text).try_cast("decimal(20,0)").cast("string")
     return F.when(damaged, F.coalesce(digits, text)).otherwise(text)
 
 

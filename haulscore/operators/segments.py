@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..constants import CONDITIONAL_BELOW, CONDITIONAL_GRID, CONDITIONAL_SEGMENT, GRID_SEGMENTS, OUTER_SEGMENTS
 from ..functions.geometry import CELL_SIZE, cell_of, grid_edges, inside
-from ..runtime import lookup_join, settle
+from ..runtime import lookup_join
 
 SITE_KEYS = ("Reference", "Zone", "Grid")
 
@@ -20,7 +20,7 @@ def assign_segments(sites: DataFrame, segments: DataFrame, cell_size: float = CE
 
     ``cell_size`` is in the units of the coordinates; a layer should span some hundreds of cells.
     """
-    cells = settle(grid_edges(segments, cell_size), "segment-cells")
+    cells = grid_edges(segments, cell_size)
     x, y = F.col("Longitude"), F.col("Latitude")
     placed = sites.withColumns({"cell_x": cell_of(x, cell_size), "cell_y": cell_of(y, cell_size)})
     found = F.filter("candidates", lambda c: inside(x, y, c["edges"]))

@@ -7,6 +7,12 @@ from haulscore.functions import quantiles as module
 from helpers import rows
 
 
+@pytest.fixture(params=["built in", "bracketed"], autouse=True)
+def way(request, monkeypatch):
+    if request.param == "bracketed":
+        monkeypatch.setattr(module, "SMALL_GROUP", -1)
+
+
 def test_linear_interpolation(spark):
     frame = spark.createDataFrame([(float(v),) for v in (1, 2, 3, 7, 10)], "x double")
     got = exact_quantiles(frame, [], ["x"], [0.05, 0.95]).first()

@@ -210,3 +210,15 @@ def test_schemas_name_the_output_columns(spark, stored):
     done = run_index(stored, SETTINGS)
     assert done.scores.columns == schemas.SCORES.fieldNames()
     assert [(f.name, f.dataType) for f in done.scores.schema] == [(f.name, f.dataType) for f in schemas.SCORES]
+
+
+def test_fused_and_literal_metrics_agree(spark, stored):
+    from literal import NAMES, literal_metrics
+
+    from haulscore.plans import survey_counts
+
+    frame = settle(survey_counts(stored, SETTINGS), "counts")
+    plain, fused = by_key(literal_metrics(frame)), by_key(sample_metrics(frame).select("Reference", *NAMES))
+    assert plain.keys() == fused.keys() and plain
+    for haul in plain:
+        assert plain[haul] == pytest.approx(fused[haul])
