@@ -27,7 +27,7 @@ from ..runtime import lookup_join, settle
 ACCURACY = 10_000
 REACH = 2.0 / ACCURACY
 # Groups up to this many rows may each be held in one task's memory.
-SMALL_GROUP = 500_000
+SMALL_GROUP = 200_000
 
 
 def prob_label(prob: float) -> str:
@@ -51,8 +51,11 @@ def exact_quantiles(
     """
     largest = frame.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
     if largest <= SMALL_GROUP:
-        names = [(c, p, f"{c}_{prob_label(p)}") for c in values for p in probs]
-        return frame.groupBy(*by).agg(*[F.percentile(F.col(c).cast("double"), p).alias(name) for c, p, name in names])
+        # One call per value: its probabilities share one table of counted values.
+        shares = F.array(*[F.lit(p) for p in probs])
+        found = frame.groupBy(*by).agg(*[F.percentile(F.col(c).cast("double"), shares).alias(c) for c in values])
+        labels = [prob_label(p) for p in probs]
+        return found.select(*by, *[F.col(c)[i].alias(f"{c}_{label}") for c in values for i, label in enumerate(labels)])
     return _bracketed(frame, list(by), list(values), list(probs))
 
 
