@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from haulscore.runtime import shared_folder
 
@@ -83,6 +84,28 @@ def slices(starts: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         begin = end
 
 
+def with_arrow(
+    docs: DataFrame, text: str, fields: Sequence[T.StructField], compute: Callable[[pa.RecordBatch], Sequence[pa.Array]], most: int = 8 << 20, drop: Sequence[str] = ()
+) -> DataFrame:
+    """Add columns that ``compute`` makes of Arrow batches of about ``most`` bytes of text; the others pass through as they are.
+
+    ``drop`` names columns that ``compute`` reads but the result leaves out. Columns that clash with the added ones are replaced.
+    """
+    docs = docs.drop(*(field.name for field in fields))
+    kept = [field for field in docs.schema.fields if field.name not in drop]
+    schema = T.StructType([*kept, *fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, starts = text_bytes(batch.column(text))
+            for first, last in slices(starts, most):
+                part = batch.slice(first, last - first)
+                columns = [part.column(field.name) for field in kept] + list(compute(part))
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return docs.mapInArrow(run, schema)
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """Connected components: (a, b) links of long node ids to (node, component), component the smallest node reachable.
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import fingerprints, quality_rules
-from llm.common import table
+from llm import fingerprints, language_id, licences, quality_rules
+from llm.common import crc32_of_id, table
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,7 +35,22 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = crc32_of_id(F.col("doc_id")) % 3 == 1
+    model = language_id.fit(language_id.training_sample(docs.where(~held_out)))
+    return language_id.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "bits_per_byte"
+    )
+
+
+def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 QUERIES = {
+    "op3_language_id": op3_language_id,
+    "op9_licence_scan": op9_licence_scan,
     "op5_quality_rules": op5_quality_rules,
     "op10_document_fingerprints": op10_document_fingerprints,
 }
