@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import fingerprints, language_id, licences, quality_rules
+from llm import fingerprints, language_id, licences, quality_model, quality_rules, warc
 from llm.common import crc32_of_id, table
 
 
@@ -48,7 +48,23 @@ def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc32_of_id(F.col("doc_id")) % 5 == 0
+    labels = table(spark, sf_dir, "labels").where(~held_out)
+    texts, known, share = quality_model.training_sample(docs, labels)
+    scored = quality_model.score_texts(docs, quality_model.fit(texts, known, share))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write(warc.decide(table(spark, sf_dir, "pages")))
+    return warc.resolved(warc.read(archives)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
+    "op2_quality_classifier": op2_quality_classifier,
+    "op4_warc": op4_warc,
     "op3_language_id": op3_language_id,
     "op9_licence_scan": op9_licence_scan,
     "op5_quality_rules": op5_quality_rules,
