@@ -107,7 +107,8 @@ def with_next(docs: DataFrame, key: str, text: str, out: str, buckets: int | Non
     keyed = docs.withColumn("_key", order).withColumn("_place", F.col("_key").cast("double"))
     cuts = keyed.select("_place").agg(F.percentile_approx("_place", [i / buckets for i in range(1, buckets)], 100 * buckets)).first()[0] if buckets > 1 else []
     splits = [float("-inf"), *sorted(set(cuts or [])), float("inf")]
-    keyed = Bucketizer(splits=splits, inputCol="_place", outputCol="_bucket").transform(keyed)
+    # Whole numbers: a window over a float key would shuffle anew.
+    keyed = Bucketizer(splits=splits, inputCol="_place", outputCol="_bucket").transform(keyed).withColumn("_bucket", F.col("_bucket").cast("int"))
     # One row for each range: its least key, and the range before it (the last one's successor is the first range).
     firsts = keyed.groupBy("_bucket").agg(F.min("_key").alias("_key"))
     before = Window.orderBy("_bucket")
