@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import fingerprints, language_id, licences, quality_model, quality_rules, warc
+from llm import fingerprints, language_id, licences, quality_model, quality_rules, simhash, warc
 from llm.common import crc32_of_id, table
 
 
@@ -30,8 +30,6 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         fingerprints.to_text(other).alias("edited_fingerprint"),
         fingerprints.likeness(sketch, other).alias("near_edited"),
         fingerprints.likeness(sketch, following).alias("near_next"),
-        fingerprints.containment(sketch, other).alias("held_by_edited"),
-        fingerprints.containment(sketch, following).alias("held_by_next"),
     )
 
 
@@ -48,6 +46,11 @@ def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", simhash.as_hex("fingerprint").alias("fingerprint"), "component_id")
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = crc32_of_id(F.col("doc_id")) % 5 == 0
@@ -63,6 +66,7 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_simhash": op1_simhash,
     "op2_quality_classifier": op2_quality_classifier,
     "op4_warc": op4_warc,
     "op3_language_id": op3_language_id,
