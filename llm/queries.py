@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import fingerprints, language_id, licences, quality_model, quality_rules, simhash, warc
+from llm import fingerprints, language_id, licences, quality_model, quality_rules, repeats, simhash, warc
 from llm.common import crc32_of_id, table
 
 
@@ -42,6 +42,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
+
+
 def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
@@ -66,6 +70,7 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op1_simhash": op1_simhash,
     "op2_quality_classifier": op2_quality_classifier,
     "op4_warc": op4_warc,
