@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import fingerprints, language_id, licences, quality_model, quality_rules, repeats, simhash, warc
+from haulscore.runtime import lookup_join
+from llm import fingerprints, language_id, licences, mixing, packing, quality_model, quality_rules, repeats, simhash, warc
 from llm.common import crc32_of_id, table
 
 
@@ -42,6 +43,18 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    planned = mixing.plan(docs, mixing.Target(entropy=0.95, most_repeats=4.0, budget=1.0))
+    drawn = mixing.mix(docs, planned).drop("text")
+    weights = planned.select("source", "weight", F.col("budget").alias("budget_tokens"), F.col("tokens").alias("source_tokens"))
+    return lookup_join(drawn, weights, ["source"], "left", null_safe=True)
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
 
@@ -70,6 +83,8 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op6_source_mixing": op6_source_mixing,
+    "op7_best_fit_packing": op7_best_fit_packing,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op1_simhash": op1_simhash,
     "op2_quality_classifier": op2_quality_classifier,
