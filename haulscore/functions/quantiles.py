@@ -9,6 +9,9 @@ Where every group is measured to be small, the built-in aggregate does. Beyond t
 3. Values inside the other brackets are counted by value (combined before the shuffle, so repeated values
    collapse) and the few that remain are ranked.
 
+Both ways give the same bits: equal neighbours are returned as they are, others are weighted as the built-in
+aggregate weights them, and NaN ranks last.
+
 A bracket that step 2 does not prove is widened to the whole group, so the result is exact in any case.
 That happens only to groups of fewer than about 20,000 rows: beyond it the sketch's error bound is smaller than
 the reach of the bracket.
@@ -110,7 +113,7 @@ def _bracketed(frame: DataFrame, by: list[str], values: list[str], probs: list[f
                 f"WHEN holds{v}_{i} THEN low{v}_{i} ELSE CAST('-Infinity' AS DOUBLE) END AS low{v}_{i}"
                 for v, i in wanted
             ],
-            *[f"IF(holds{v}_{i}, high{v}_{i}, CAST('Infinity' AS DOUBLE)) AS high{v}_{i}" for v, i in wanted],
+            *[f"IF(holds{v}_{i}, high{v}_{i}, CAST('NaN' AS DOUBLE)) AS high{v}_{i}" for v, i in wanted],
             *[f"IF(holds{v}_{i}, below{v}_{i}, 0L) AS base{v}_{i}" for v, i in wanted],
             *[f"position{v}_{i}" for v, i in wanted],
         ),
@@ -145,9 +148,15 @@ def _bracketed(frame: DataFrame, by: list[str], values: list[str], probs: list[f
         .agg(
             F.expr("max(IF(rank >= stop - copies AND rank < stop, value, NULL))").alias("lower"),
             F.expr("max(IF(rank + 1 >= stop - copies AND rank + 1 < stop, value, NULL))").alias("upper"),
-            F.expr("max(position - rank)").alias("part"),
+            F.expr("max(position)").alias("position"),
+            F.expr("max(rank)").alias("rank"),
+        )
+        .selectExpr(
+            *keys,
+            "v",
+            "i",
+            "IF(position = rank OR lower = upper, lower, (rank + 1 - position) * lower + (position - rank) * upper) AS value",
         )
-        .selectExpr(*keys, "v", "i", "IF(part = 0, lower, (1 - part) * lower + part * upper) AS value")
     )
     known = ", ".join(f"named_struct('v', {v}, 'i', {i}, 'value', known{v}_{i})" for v, i in wanted)
     return (
