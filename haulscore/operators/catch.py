@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import BAY_PREFIX, EFFORT_M2, FIRST_DATE, GEARS, PROJECT
+from ..functions.expressions import normalize_code
 from ..runtime import lookup_join
 from ..schemas import CATCH
 
@@ -55,14 +56,19 @@ def kept_records(numbers: DataFrame) -> DataFrame:
     return numbers.filter(F.col("FHC") != "D").drop("FHC")
 
 
+def with_repaired_codes(frame: DataFrame) -> DataFrame:
+    """Species codes repaired, so that damaged and whole ones meet."""
+    return frame.withColumn("NODCCODE", normalize_code(F.col("NODCCODE")))
+
+
 def build_catch(samples: DataFrame, numbers: DataFrame, species_list: DataFrame) -> DataFrame:
     """One row per catch record of the selected hauls, with haul attributes and species names.
 
     Both inputs of the haul join grow with the survey, so it is a shuffle join; adaptive execution splits
     the records of a hot haul.
     """
-    names = species_list.select("NODCCODE", "Scientificname", "Commonname")
-    records = kept_records(numbers).join(samples, "Reference", "inner")
+    names = with_repaired_codes(species_list.select("NODCCODE", "Scientificname", "Commonname"))
+    records = with_repaired_codes(kept_records(numbers)).join(samples, "Reference", "inner")
     return lookup_join(records, names, ["NODCCODE"], "inner").select(*CATCH.fieldNames())
 
 

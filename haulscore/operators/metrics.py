@@ -29,20 +29,22 @@ METRICS = [
     "Num_LR",
     *PROPORTIONS,
 ]
+# Metrics that need a haul's rows in order of size.
+ORDERED = ("Shannon", "Simpson", "Pielou", "Taxa90")
 # Marks a missing amount inside a sum, which it makes NaN: one running value does for sum and check.
 MISSING = float("nan")
 ATTRIBUTES = ("Year", "Month", "bay_segment", "Longitude", "Latitude")
 
 
 def sample_metrics(
-    counts: DataFrame, sentinel: str = SENTINEL_SPECIES, dominance: float = 0.9, collapse: bool = False
+    counts: DataFrame, sentinel: str = SENTINEL_SPECIES, dominance: float = 0.9, wanted: Sequence[str] = METRICS
 ) -> DataFrame:
-    """One row per haul with all metrics, from one row per haul and species.
+    """One row per haul with the wanted metrics, from one row per haul and species.
 
-    One shuffle by haul serves the window (total, running sums) and the aggregate. A haul has at most one row per
-    species of the class table here. Where that table has no small bound, ``collapse`` first counts equal
-    rows of a haul, for one more shuffle: then a haul has at most a row per distinct total and class, and n
-    distinct totals take n(n+1)/2 individuals.
+    Diversity and dominance need a haul's rows in order of size. For them equal rows of a haul are counted
+    first, whatever the size of the tables: then a haul has at most a row per distinct total and class, and n
+    distinct totals take n(n+1)/2 individuals. One shuffle by haul then serves the window (total, running sums) and
+    the aggregate. All other metrics are plain sums, combined before their only shuffle, so a hot haul leaves each task as one row.
 
     Missing totals follow the sums they enter: one NULL total makes a haul's NumIndiv, abundances, diversity and
     proportions NULL. A haul without individuals has 0 in every metric.
@@ -66,39 +68,19 @@ def sample_metrics(
         *[flag(F.col(column) == code, f"is_{name}") for name, column, code in GUILD_FLAGS],
         "Total_N",
     )
-    if collapse:
-        rows = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("taxa"))
     total_n = F.col("Total_N")
-    # Without collapsing each row is one taxon.
-    taxa = F.col("taxa") if collapse else F.lit(1)
+    ordered = bool(set(wanted) & set(ORDERED))
+    if ordered:
+        rows = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("taxa"))
+    else:
+        rows = rows.withColumn("taxa", F.lit(1))  # each row is one taxon
+    taxa = F.col("taxa")
 
     def times_taxa(value: Column) -> Column:
-        return taxa * value if collapse else value
+        return taxa * value
 
     stock = times_taxa(total_n)
-
-    # All frames share one ordering, so one sort serves them. Ties give the same results in any order.
-    largest_first = Window.partitionBy("Reference").orderBy(F.desc("Total_N"))
-    so_far = largest_first.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = largest_first.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    all_counted = F.count("Total_N").over(whole) == F.count(F.lit(1)).over(whole)
-    ranked = rows.select(
-        "*",
-        F.when(all_counted, F.sum(stock).over(whole)).alias("total"),
-        F.sum(stock).over(so_far).alias("stock_through"),
-        (F.sum(taxa).over(so_far) if collapse else F.row_number().over(largest_first)).alias("taxa_through"),
-    )
-    total, taxa_needed = F.col("total"), F.col("taxa_through")
-    if collapse:
-        # Of a row's equal taxa only so many are needed; the estimate may be off by one in its last bit.
-        before = F.col("stock_through") - stock
-        estimate = F.ceil(ratio(dominance * total - before, total_n))
-
-        def enough(taken: Column) -> Column:
-            return ratio(before + taken * total_n, total) >= dominance
-
-        taken = F.when(enough(estimate - 1), estimate - 1).when(enough(estimate), estimate).otherwise(estimate + 1)
-        taxa_needed = taxa_needed - taxa + F.greatest(taken, F.lit(1))
+    ranked = _ranked(rows, stock) if ordered else rows
 
     def number(name: str) -> Column:
         return F.sum(F.when(F.col(name), taxa).otherwise(0)).cast("double")
@@ -111,24 +93,21 @@ def sample_metrics(
 
     marked_stock = F.coalesce(stock, F.lit(MISSING))
     taxa_select = F.sum(times_taxa(F.col("selection")))
-    complete = F.max("total").isNotNull()
-    p = ratio(total_n, total)
+    complete = F.count("Total_N") == F.count(F.lit(1))
     base = ranked.groupBy("Reference", *attributes).agg(
         number("is_taxon").alias("NumTaxa"),
-        F.max("total").alias("NumIndiv"),
-        (F.lit(0.0) - F.sum(times_taxa(p * F.ln(p)))).alias("Shannon"),
-        ratio(F.lit(1.0), F.sum(times_taxa(p * p))).alias("Simpson"),
+        F.when(complete, F.sum(stock)).alias("NumIndiv"),
+        *(_ordered_metrics(taxa, dominance) if ordered else []),
         F.when(~F.isnan(taxa_select), taxa_select).alias("TaxaSelect"),
         or_zero(individuals("is_selected", marked_stock)).alias("SelectIndiv"),
         F.count_distinct("guild").cast("double").alias("NumGuilds"),
-        F.min(F.when(ratio(F.col("stock_through"), total) >= dominance, taxa_needed)).cast("double").alias("Taxa90"),
         *[number(f"is_{name}").alias(f"{name}Taxa") for name, _, _ in GUILD_FLAGS],
         *[F.when(complete, individuals(f"is_{name}")).alias(f"{name}Abund") for name, _, _ in GUILD_FLAGS],
         or_zero(individuals("is_sentinel", marked_stock)).alias("Num_LR"),
     )
     derived = base.withColumns(
         {
-            "Pielou": ratio(F.col("Shannon"), F.ln("NumTaxa")),
+            **({"Pielou": ratio(F.col("Shannon"), F.ln("NumTaxa"))} if ordered else {}),
             **{f"Prop{name}": ratio(F.col(f"{name}Abund"), F.col("NumIndiv")) for name, _, _ in GUILD_FLAGS},
             "PropSelect": F.coalesce(ratio(F.col("SelectIndiv"), F.col("NumIndiv")), F.lit(0.0)),
         }
@@ -138,7 +117,44 @@ def sample_metrics(
     if "Month" in attributes:
         derived = derived.withColumn("Season", season(F.col("Month")))
         keys.insert(keys.index("Month") + 1, "Season")
-    return derived.select(*keys, *[zero_if(empty, F.col(m)).alias(m) for m in METRICS])
+    return derived.select(*keys, *[zero_if(empty, F.col(m)).alias(m) for m in METRICS if m in wanted])
+
+
+def _ranked(rows: DataFrame, stock: Column) -> DataFrame:
+    """Add a haul's total and the running stock and taxa, largest totals first.
+
+    All frames share one ordering, so one sort serves them. Ties give the same results in any order.
+    """
+    largest_first = Window.partitionBy("Reference").orderBy(F.desc("Total_N"))
+    so_far = largest_first.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = largest_first.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    all_counted = F.count("Total_N").over(whole) == F.count(F.lit(1)).over(whole)
+    return rows.select(
+        "*",
+        F.when(all_counted, F.sum(stock).over(whole)).alias("total"),
+        F.sum(stock).over(so_far).alias("stock_through"),
+        F.sum("taxa").over(so_far).alias("taxa_through"),
+    )
+
+
+def _ordered_metrics(taxa: Column, dominance: float) -> list[Column]:
+    """Shannon, Simpson and the number of taxa that make up a share of the haul."""
+    total_n, total = F.col("Total_N"), F.col("total")
+    # Of a row's equal taxa only so many are needed; the estimate may be off by one in its last bit.
+    before = F.col("stock_through") - taxa * total_n
+    estimate = F.ceil(ratio(dominance * total - before, total_n))
+
+    def enough(taken: Column) -> Column:
+        return ratio(before + taken * total_n, total) >= dominance
+
+    taken = F.when(enough(estimate - 1), estimate - 1).when(enough(estimate), estimate).otherwise(estimate + 1)
+    needed = F.col("taxa_through") - taxa + F.greatest(taken, F.lit(1))
+    p = ratio(total_n, total)
+    return [
+        (F.lit(0.0) - F.sum(taxa * (p * F.ln(p)))).alias("Shannon"),
+        ratio(F.lit(1.0), F.sum(taxa * p * p)).alias("Simpson"),
+        F.min(F.when(ratio(F.col("stock_through"), total) >= dominance, needed)).cast("double").alias("Taxa90"),
+    ]
 
 
 def assemble(first: DataFrame, *others: DataFrame, on: str = "Reference") -> DataFrame:
@@ -149,6 +165,6 @@ def assemble(first: DataFrame, *others: DataFrame, on: str = "Reference") -> Dat
     return reduce(lambda left, right: left.join(right, on, "left"), others, first)
 
 
-def pick(metrics: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Some metrics by name, one row per haul; Catalyst prunes the others from the aggregate."""
-    return metrics.select("Reference", *names)
+def pick(counts: DataFrame, names: Sequence[str], sentinel: str = SENTINEL_SPECIES) -> DataFrame:
+    """Some metrics by name, one row per haul; only what they need is computed."""
+    return sample_metrics(counts, sentinel, wanted=names).select("Reference", *names)

@@ -17,14 +17,14 @@ from .. import constants as C
 from ..functions.expressions import season
 from ..functions.geometry import CELL_SIZE
 from ..operators.bands import band_percentiles, with_bands
-from ..operators.catch import kept_records, select_samples
+from ..operators.catch import kept_records, select_samples, with_repaired_codes
 from ..operators.counts import combine_counts, with_classes
 from ..operators.metrics import METRICS, sample_metrics
 from ..operators.reference import reference_conditions
 from ..operators.rollup import segment_scores, yearly_scores
 from ..operators.scoring import index_scores, metric_scores
 from ..operators.segments import assign_segments, override_segments
-from ..runtime import fits_broadcast, lookup_join, settle
+from ..runtime import lookup_join, settle
 
 
 @dataclass(frozen=True)
@@ -92,19 +92,14 @@ def survey_counts(tables: SurveyTables, settings: IndexSettings) -> DataFrame:
     """Totals per haul and index species, named and classed; the look-ups come after the records are summed."""
     records = kept_records(tables.numbers).filter(F.col("Reference").startswith(settings.prefix))
     counts = combine_counts(records)
-    names = tables.species_list.select("NODCCODE", "Scientificname")
+    names = with_repaired_codes(tables.species_list.select("NODCCODE", "Scientificname"))
     return with_classes(lookup_join(counts, names, ["NODCCODE"], "inner"), tables.species)
 
 
 def haul_metrics(tables: SurveyTables, settings: IndexSettings) -> DataFrame:
-    """One row of metrics per selected haul; the join is one to one and on the key the metrics already sit by.
-
-    A class table small enough to broadcast bounds the rows of a haul; beyond it equal rows are collapsed first.
-    """
+    """One row of metrics per selected haul; the join is one to one and on the key the metrics already sit by."""
     hauls = survey_hauls(tables, settings)
-    metrics = sample_metrics(
-        survey_counts(tables, settings), settings.sentinel, collapse=not fits_broadcast(tables.species)
-    )
+    metrics = sample_metrics(survey_counts(tables, settings), settings.sentinel)
     return metrics.join(hauls, "Reference", "inner").select(*hauls.columns, *METRICS)
 
 

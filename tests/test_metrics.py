@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from haulscore.functions import ratio
 from haulscore.operators import METRICS, assemble, sample_metrics
-from haulscore.operators.metrics import ATTRIBUTES
-from helpers import NO_FISH, SPECIES, counts, rows
+from haulscore.operators.metrics import ATTRIBUTES, ORDERED, pick
+from helpers import NO_FISH, SPECIES, counts, plan_of, rows
 
 
 def metrics_of(spark, records, sentinel="Alpha"):
@@ -120,8 +120,7 @@ def brute(records):
     return out
 
 
-@pytest.mark.parametrize("collapse", [False, True])
-def test_random_hauls_against_plain_python(spark, collapse):
+def test_random_hauls_against_plain_python(spark):
     generator = random.Random(11)
     hauls = {
         f"h{i}": [(c, generator.choice([0, 1, 1, 2, 7, 300])) for c in generator.sample(sorted(CODES), generator.randint(1, len(CODES)))]
@@ -129,7 +128,7 @@ def test_random_hauls_against_plain_python(spark, collapse):
     }
     records = [(h, c, n) for h, kept in hauls.items() for c, n in kept]
     frame = counts(spark, records)
-    got = {r["Reference"]: r.asDict() for r in sample_metrics(frame, "Alpha", collapse=collapse).collect()}
+    got = {r["Reference"]: r.asDict() for r in sample_metrics(frame, "Alpha").collect()}
     assert len(got) == len(hauls)
     for haul, kept in hauls.items():
         want = brute(kept)
@@ -156,9 +155,35 @@ def test_many_equal_taxa_are_one_row_when_collapsed(spark):
         running += n
         if running / sum(totals) >= 0.9:
             break
-    wide, narrow = (sample_metrics(frame, collapse=c).first().asDict() for c in (False, True))
-    assert wide["Taxa90"] == narrow["Taxa90"] == place
-    assert wide == pytest.approx(narrow)
+    got = sample_metrics(frame).first()
+    assert got["Taxa90"] == place and got["NumTaxa"] == len(totals) and got["NumIndiv"] == sum(totals)
+
+
+def test_dominance_of_fractional_totals(spark):
+    """Totals scaled down by a subsample level below zero, with running sums on and beside the threshold."""
+    hauls = {"a": [0.1] * 10, "b": [0.25] * 3 + [0.125] * 2, "c": [1 / 3] * 9 + [1 / 3], "d": [4.5, 0.25, 0.25], "e": [0.9, 0.1]}
+    frame = spark.createDataFrame(
+        [(h, f"{i}", t, f"S{i}", "B", "MS", "O", "TS", "ZB", "N") for h, totals in hauls.items() for i, t in enumerate(totals)],
+        "Reference string, NODCCODE string, Total_N double, Scientificname string, Hab_Cat string, Est_Cat string, "
+        "Est_Use string, Feeding_Cat string, Feeding_Guild string, Selected_Taxa string",
+    )
+    first = {r["Reference"]: r.asDict() for r in sample_metrics(frame).collect()}
+    again = {r["Reference"]: r.asDict() for r in sample_metrics(frame.repartition(6, "NODCCODE")).collect()}
+    assert {h: r["Taxa90"] for h, r in first.items()} == {"a": 9, "b": 5, "c": 9, "d": 1, "e": 1}
+    assert first == again
+
+
+@pytest.mark.parametrize("name", [m for m in METRICS if m not in ORDERED])
+def test_plain_sums_need_no_window(spark, name):
+    plan = plan_of(sample_metrics(counts(spark, [("a", "100", 5)]), wanted=[name]))
+    assert "Window" not in plan and "partial_" in plan
+
+
+def test_wanted_metrics_are_the_same_alone(spark):
+    frame = counts(spark, [("a", "100", 5), ("a", "200", 5), ("b", "200", 4), ("c", "100", None), ("c", "200", 1), ("d", NO_FISH, 0)])
+    everything = {r["Reference"]: r.asDict() for r in sample_metrics(frame, "Alpha").collect()}
+    for name in METRICS:
+        assert {r["Reference"]: r[name] for r in pick(frame, [name], "Alpha").collect()} == {h: r[name] for h, r in everything.items()}, name
 
 
 def test_joining_metric_tables_gives_the_same(spark):
