@@ -43,41 +43,25 @@ def cell_of(coordinate: Column, cell_size: float) -> Column:
 
 def grid_edges(segments: DataFrame, cell_size: float = CELL_SIZE) -> DataFrame:
     """(cell_x, cell_y, candidates): one row per cell with the polygons near it and their edges there."""
-    vertices = F.flatten("rings")
-    boxed = segments.select(
+    size = F.lit(float(cell_size))
+    # Numbered before edges are listed, so that a polygon's edges stay together.
+    edges = segments.withColumn("polygon", F.monotonically_increasing_id()).select(
         "bay_segment",
-        F.flatten(F.transform("rings", _ring_edges)).alias("edges"),
-        F.transform(vertices, lambda v: v["x"]).alias("xs"),
-        F.transform(vertices, lambda v: v["y"]).alias("ys"),
-    )
-    columns = boxed.select(
-        "bay_segment",
-        "edges",
-        "ys",
-        F.explode(
-            F.sequence(cell_of(F.array_min("xs"), cell_size), cell_of(F.array_max("xs"), cell_size))
-        ).alias("cell_x"),
-    )
-    cells = columns.select(
-        "bay_segment",
-        "edges",
-        "cell_x",
-        F.explode(
-            F.sequence(cell_of(F.array_min("ys"), cell_size), cell_of(F.array_max("ys"), cell_size))
-        ).alias("cell_y"),
+        "polygon",
+        F.array_min(F.transform(F.flatten("rings"), lambda v: v["x"])).alias("x_min"),
+        F.explode(F.flatten(F.transform("rings", _ring_edges))).alias("edge"),
     )
+    # An edge matters to the rows of cells it spans, and there to all cells from the polygon's left end to its own right end.
     # One cell of slack: a coordinate divided by the cell size may round across a cell border.
-    left = (F.col("cell_x") - 1) * F.lit(float(cell_size))
-    bottom = (F.col("cell_y") - 1) * F.lit(float(cell_size))
-    top = (F.col("cell_y") + 2) * F.lit(float(cell_size))
-    reachable = F.filter(
-        "edges", lambda e: (e["y_low"] <= top) & (e["y_high"] >= bottom) & (e["x_max"] >= left)
+    rows = edges.withColumn(
+        "cell_y", F.explode(F.sequence(cell_of(F.col("edge.y_low"), cell_size) - 1, cell_of(F.col("edge.y_high"), cell_size) + 1))
     )
-    near = cells.select("cell_x", "cell_y", F.struct("bay_segment", reachable.alias("edges")).alias("candidate"))
+    near = rows.withColumn("cell_x", F.explode(F.sequence(F.floor(F.col("x_min") / size), cell_of(F.col("edge.x_max"), cell_size) + 1)))
     return (
-        near.filter(F.size("candidate.edges") > 0)
+        near.groupBy("cell_x", "cell_y", "polygon", "bay_segment")
+        .agg(F.collect_list("edge").alias("edges"))
         .groupBy("cell_x", "cell_y")
-        .agg(F.collect_list("candidate").alias("candidates"))
+        .agg(F.collect_list(F.struct("bay_segment", "edges")).alias("candidates"))
     )
 
 

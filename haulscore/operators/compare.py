@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -12,28 +12,37 @@ from pyspark.sql.types import NumericType
 def compare_tables(
     a: DataFrame, b: DataFrame, key: str = "Reference", tol: float = 0.1, columns: Sequence[str] | None = None
 ) -> DataFrame:
-    """One row per key and column whose values differ, and one per key that only one table has.
+    """One row per key and column whose values differ, one per key that only one table has (``only_a``, ``only_b``),
+    and one per column that only one table has (``column_only_a``, ``column_only_b``, without a key).
 
     Numbers differ when they are more than ``tol`` apart; text when unequal; a missing value differs from
-    a present one. The key is unique in each table, so the full join is one to one.
+    a present one. Where one table has numbers and the other text, text that is no number differs from any. Missing keys match each
+    other. The key is unique in each table, so the full join is one to one.
     """
-    shared = [c for c in (columns or a.columns) if c != key and c in b.columns]
-    types = {f.name: f.dataType for f in a.schema}
-    left = a.select(F.col(key).alias("_a_key"), F.struct(*shared).alias("a"))
-    right = b.select(F.col(key).alias("_b_key"), F.struct(*shared).alias("b"))
-    joined = left.join(right, F.col("_a_key") == F.col("_b_key"), "full").withColumn(
+    wanted = [c for c in (columns or dict.fromkeys([*a.columns, *b.columns])) if c != key]
+    shared = [c for c in wanted if c in a.columns and c in b.columns]
+    types = {f"{side}.{f.name}": f.dataType for side, frame in (("a", a), ("b", b)) for f in frame.schema}
+    left = a.select(F.col(key).alias("_a_key"), F.lit(True).alias("_in_a"), F.struct(F.lit(1).alias("_"), *shared).alias("a"))
+    right = b.select(F.col(key).alias("_b_key"), F.lit(True).alias("_in_b"), F.struct(F.lit(1).alias("_"), *shared).alias("b"))
+    joined = left.join(right, F.col("_a_key").eqNullSafe(F.col("_b_key")), "full").withColumn(
         "status",
-        F.when(F.col("_b_key").isNull(), "only_a").when(F.col("_a_key").isNull(), "only_b").otherwise("differs"),
+        F.when(F.col("_in_b").isNull(), "only_a").when(F.col("_in_a").isNull(), "only_b").otherwise("differs"),
     )
+
+    def number(value: Column) -> Column:
+        return value.try_cast("double")
+
     found = []
     for name in shared:
         va, vb = F.col(f"a.{name}"), F.col(f"b.{name}")
-        if isinstance(types[name], NumericType):
-            gap = F.abs(va.cast("double") - vb.cast("double"))
-            differs = (gap > tol) | va.isNull().eqNullSafe(vb.isNotNull())
+        if any(isinstance(types[f"{side}.{name}"], NumericType) for side in "ab"):
+            na, nb = number(va), number(vb)
+            gap = F.abs(na - nb)
+            unread = (va.isNotNull() & na.isNull()) | (vb.isNotNull() & nb.isNull())
+            differs = (gap > tol) | (va.isNull() != vb.isNull()) | unread
         else:
             gap = F.lit(None).cast("double")
-            differs = ~va.eqNullSafe(vb)
+            differs = ~va.cast("string").eqNullSafe(vb.cast("string"))
         found.append(
             F.when(
                 (F.col("status") == "differs") & F.coalesce(differs, F.lit(False)),
@@ -45,16 +54,12 @@ def compare_tables(
                 ),
             )
         )
-    lone = F.when(
-        F.col("status") != "differs",
-        F.struct(
-            F.lit(None).cast("string").alias("column"),
-            F.lit(None).cast("string").alias("value_a"),
-            F.lit(None).cast("string").alias("value_b"),
-            F.lit(None).cast("double").alias("difference"),
-        ),
-    )
+    nothing = [F.lit(None).cast("string").alias(c) for c in ("column", "value_a", "value_b")]
+    lone = F.when(F.col("status") != "differs", F.struct(*nothing, F.lit(None).cast("double").alias("difference")))
     rows = F.explode(F.filter(F.array(*found, lone), lambda r: r.isNotNull()))
-    return joined.select(F.coalesce("_a_key", "_b_key").alias(key), "status", rows.alias("r")).select(
-        key, "status", "r.*"
-    )
+    out = joined.select(F.coalesce("_a_key", "_b_key").alias(key), "status", rows.alias("r")).select(key, "status", "r.*")
+    lone_columns = [(c, "column_only_a" if c in a.columns else "column_only_b") for c in wanted if (c in a.columns) != (c in b.columns)]
+    if not lone_columns:
+        return out
+    listed = a.sparkSession.createDataFrame(lone_columns, "column string, status string")
+    return out.unionByName(listed, allowMissingColumns=True)

@@ -61,12 +61,14 @@ def padded_extent(points: DataFrame, pad_x: float = 0.25, pad_y: float = 0.10) -
 
 
 def within_extent(points: DataFrame, extent: DataFrame) -> DataFrame:
-    """Points inside a one-row extent, which enters as scalar subqueries."""
-
-    def bound(name: str):
-        return extent.select(name).scalar()
-
-    return points.filter(
-        F.col("Longitude").between(bound("xmin"), bound("xmax"))
-        & F.col("Latitude").between(bound("ymin"), bound("ymax"))
+    """Points inside a one-row extent, which enters as one scalar subquery."""
+
+    box = extent.select(F.struct("xmin", "xmax", "ymin", "ymax").alias("box")).scalar()
+    return (
+        points.withColumn("_box", box)
+        .filter(
+            F.col("Longitude").between(F.col("_box.xmin"), F.col("_box.xmax"))
+            & F.col("Latitude").between(F.col("_box.ymin"), F.col("_box.ymax"))
+        )
+        .drop("_box")
     )

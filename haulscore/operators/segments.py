@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..constants import CONDITIONAL_BELOW, CONDITIONAL_GRID, CONDITIONAL_SEGMENT, GRID_SEGMENTS, OUTER_SEGMENTS
 from ..functions.geometry import CELL_SIZE, cell_of, grid_edges, inside
-from ..runtime import lookup_join
+from ..runtime import lookup_join, settle
 
 SITE_KEYS = ("Reference", "Zone", "Grid")
 
@@ -20,7 +20,8 @@ def assign_segments(sites: DataFrame, segments: DataFrame, cell_size: float = CE
 
     ``cell_size`` is in the units of the coordinates; a layer should span some hundreds of cells.
     """
-    cells = grid_edges(segments, cell_size)
+    # Written once: the look-up is measured and then joined.
+    cells = settle(grid_edges(segments, cell_size), "segment-cells")
     x, y = F.col("Longitude"), F.col("Latitude")
     placed = sites.withColumns({"cell_x": cell_of(x, cell_size), "cell_y": cell_of(y, cell_size)})
     found = F.filter("candidates", lambda c: inside(x, y, c["edges"]))
@@ -45,9 +46,11 @@ def override_segments(
     the published scores; the rule's stated intent is ``y``.
     """
     coordinate = F.col({"x": "Longitude", "y": "Latitude"}[axis])
-    by_hand = F.when((F.col("Grid") == conditional_grid) & (coordinate < below), F.lit(conditional_segment))
-    for grid, name in grid_segments.items():
-        by_hand = by_hand.when(F.col("Grid") == grid, F.lit(name))
+    rules = [(F.col("Grid") == grid, F.lit(name)) for grid, name in grid_segments.items()]
+    rules.append(((F.col("Grid") == conditional_grid) & (coordinate < below), F.lit(conditional_segment)))
+    by_hand = F.when(*rules[0])
+    for rule in rules[1:]:
+        by_hand = by_hand.when(*rule)
     return sites.withColumn("bay_segment", by_hand.otherwise(F.col("bay_segment"))).filter(
         F.col("bay_segment").isNotNull() & ~F.col("bay_segment").isin(*excluded)
     )

@@ -37,6 +37,14 @@ def settle(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def clear_settled(spark: SparkSession) -> None:
+    """Delete the tables that this application has settled. Call it when none of their readers is needed any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+        f"{shared_folder(spark).rstrip('/')}/haulscore/{spark.sparkContext.applicationId}"
+    )
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fits_broadcast(frame: DataFrame, max_bytes: int | None = None) -> bool:
     """Measure a frame with one distributed aggregate. Give it scans or settled frames, not long plans."""
     limit = BROADCAST_BYTES if max_bytes is None else max_bytes

@@ -20,6 +20,7 @@ from haulscore.operators import (
     select_samples,
     with_classes,
 )
+from haulscore.operators.metrics import pick
 from haulscore.plans import IndexSettings, SurveyTables, haul_metrics, run_index
 from haulscore.runtime import fits_broadcast, lookup_join, settle, shared_folder
 from helpers import SPECIES, counts, initial_plan, layer, numbers, physical, plan_of, rows, species, species_list, square
@@ -66,12 +67,25 @@ def by_key(frame, key="Reference"):
     return {r[key]: r.asDict() for r in frame.collect()}
 
 
-def test_one_shuffle_and_one_sort_for_all_metrics(spark):
+def test_one_sort_for_all_metrics_and_equal_rows_counted_before_it(spark):
     frame = settle(counts(spark, [("a", "100", 5), ("a", "200", 5), ("b", "200", 4)]), "counts")
     plan = plan_of(sample_metrics(frame))
-    assert len(re.findall(r"Exchange hashpartitioning\(Reference", plan)) == 1
-    assert plan.count("Exchange") == 1 and len(re.findall(r"- Sort ", plan)) == 1
-    assert "Expand" not in plan
+    assert len(re.findall(r"Exchange hashpartitioning\(Reference", plan)) == 2
+    assert plan.count("Exchange") == 2 and len(re.findall(r"- Sort ", plan)) == 1
+    assert "partial_count" in plan.split("Exchange")[2] and "Expand" not in plan
+
+
+def test_over_large_class_table_collapses_a_haul_for_every_caller(spark):
+    """A haul of many species with few different totals has few rows where it is put in order, for each of the ordered metrics."""
+    codes = [(i, f"{i}", f"S{i}", "Y", "B", "MS", "O", "TS", "ZB", "N") for i in range(3000)]
+    classes = spark.createDataFrame(codes, schemas.SPECIES_CLASS)
+    totals = spark.createDataFrame([("a", f"{i}", float(1 + i % 3), f"S{i}") for i in range(3000)], "Reference string, NODCCODE string, Total_N double, Scientificname string")
+    frame = with_classes(totals, classes)
+    for wanted in (["Shannon"], ["Taxa90"], None):
+        whole = sample_metrics(frame, **({"wanted": wanted} if wanted else {}))
+        assert re.search(r"Window.*\n(.*\n)*?.*Exchange.*\n(.*\n)*?.*HashAggregate.*count", plan_of(whole))
+        assert whole.count() == 1
+    assert sample_metrics(frame).first()["NumTaxa"] == 3000
 
 
 def test_records_are_summed_before_the_shuffle(spark, stored):
@@ -84,7 +98,7 @@ def test_the_whole_chain_shuffles_records_once_and_totals_once(spark, stored, co
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     plan = plan_of(haul_metrics(stored, SETTINGS))
     exchanges = re.findall(r"Exchange hashpartitioning\((\w+)", plan)
-    assert sorted(exchanges) == ["Reference", "Reference", "Reference", "cell_x"]
+    assert sorted(exchanges) == ["Reference"] * 4
     assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == 3
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
@@ -98,8 +112,8 @@ def test_scans_read_needed_columns_only(spark, stored, conf):
 
 
 def test_single_metrics_prune_the_rest(spark, stored):
-    frame = sample_metrics(with_classes(combine_counts(stored.numbers.drop("FHC")).withColumn("Scientificname", F.lit("Alpha")), stored.species))
-    plan = plan_of(frame.select("Reference", "NumTaxa"))
+    frame = with_classes(combine_counts(stored.numbers.drop("FHC")).withColumn("Scientificname", F.lit("Alpha")), stored.species)
+    plan = plan_of(pick(frame, ["NumTaxa"]))
     assert "guild" not in plan and "is_Pelagic" not in plan
 
 
@@ -183,10 +197,8 @@ def test_scores_join_conditions_without_moving_hauls(spark, stored, conf):
 def test_spatial_lookup_moves_no_site(spark, stored, conf):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     plan = plan_of(assign_segments(stored.physical, stored.segments, 0.5))
-    # The one shuffle gathers the polygons of each grid cell, below the broadcast.
-    sites, polygons = plan.split("BroadcastExchange")
-    assert "BroadcastHashJoin" in sites and "Exchange" not in sites and "NestedLoop" not in plan
-    assert re.findall(r"Exchange hashpartitioning\((\w+)", polygons) == ["cell_x"]
+    # The cells are a written table, measured and broadcast.
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan and "NestedLoop" not in plan
 
 
 def test_top_results_use_scalar_subqueries(spark, stored):
@@ -226,3 +238,12 @@ def test_fused_and_literal_metrics_agree(spark, stored):
     assert plain.keys() == fused.keys() and plain
     for haul in plain:
         assert plain[haul] == pytest.approx(fused[haul])
+
+
+def test_settled_tables_can_be_cleared(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(runtime, "shared_folder", lambda _: str(tmp_path))
+    frame = settle(spark.range(3), "cleared")
+    folder = Path(frame.inputFiles()[0].removeprefix("file:").replace("//", "/")).parent
+    assert folder.exists()
+    runtime.clear_settled(spark)
+    assert not folder.exists()

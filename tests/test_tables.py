@@ -36,6 +36,19 @@ def test_comparison(spark):
     assert rows(compare_tables(a, b, tol=0.3, columns=["v"]).filter("status = 'differs'")) == []
 
 
+def test_comparison_of_missing_keys_mixed_types_and_lone_columns(spark):
+    a = spark.createDataFrame([(None, 1.0, "p", 1), ("x", 1.0, "7", 2)], "Reference string, v double, s string, mine int")
+    b = spark.createDataFrame([("x", "1.05", 7.0), ("y", "no number", None)], "Reference string, v string, s double")
+    got = rows(compare_tables(a, b), "Reference", "status", "column")
+    assert got == sorted(
+        [(None, "only_a", None), ("y", "only_b", None), (None, "column_only_a", "mine")], key=lambda r: tuple((v is not None, str(v)) for v in r)
+    )
+    c = spark.createDataFrame([(None, "2.0", "q"), ("x", "no number", "7")], "Reference string, v string, s string")
+    got = compare_tables(a, c, columns=["v", "s"])
+    assert rows(got, "Reference", "column") == [(None, "s"), (None, "v"), ("x", "v")]
+    assert rows(compare_tables(b, a, columns=["s"]).filter("status <> 'differs'"), "Reference", "status") == [(None, "only_b"), ("y", "only_a")]
+
+
 def test_quality_report(spark):
     catch = spark.createDataFrame(
         [
