@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from haulscore.plans import IndexSettings, SurveyTables
 from haulscore.runtime import lookup_join
-from haulscore.sources import read_table, segments_from_vertices
+from haulscore.sources import read_table, segments_from_vertices, segments_from_wkt
 
 REFERENCE_YEARS = (1996, 1999)
 SINCE = "1995-01-01"
@@ -158,6 +158,52 @@ def survey(spark: SparkSession, sf_dir: str) -> SurveyTables:
     )
 
 
+def damaged_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records with a fifth of their species codes in scientific notation."""
+    code = F.col("NODCCODE")
+    scientific = F.concat(F.substring(code, 1, 1), F.lit("."), F.substring(code, 2, 9), F.lit("e+09"))
+    return numbers(spark, sf_dir).withColumn("NODCCODE", F.when(F.col("Number") % 5 == 0, scientific).otherwise(code))
+
+
+def flawed_catch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw records of all hauls with their attributes and every kind of flaw that the report looks for."""
+    line, part, order = F.col("l_linenumber"), F.col("l_partkey"), F.col("l_orderkey")
+    records = read_table(spark, f"{sf_dir}/lineitem.parquet").select(
+        F.when((line != 1) | (order % 101 != 0), _reference(order)).alias("Reference"),
+        _reference(order).alias("of_haul"),
+        F.when((line == 1) & (part % 70 == 3), None)
+        .when(part % 60 == 7, F.concat(F.lit("77"), part.cast("string")))
+        .when((line == 1) & (order % 43 == 0), "9998000000")
+        .otherwise(_species_code(part))
+        .alias("NODCCODE"),
+        F.when(line == 4, "2").alias("Splittype"),
+        F.when((line == 4) & (part % 30 != 0), "1").alias("Splitlevel"),
+        F.when((line == 3) & (part % 50 == 0), None)
+        .when((line == 2) & (part % 40 == 1), 0)
+        .otherwise(F.col("l_quantity").cast("int"))
+        .alias("Number"),
+        ((line == 2) & (order % 37 == 0)).alias("moved"),
+    )
+    hauls = physical(spark, sf_dir).select(F.col("Reference").alias("of_haul"), "Sampling_Date", "Longitude", "Latitude", "Zone", "Grid")
+    joined = records.join(hauls, "of_haul", "inner")
+    return joined.withColumn("Zone", F.when(F.col("moved"), "ELSEWHERE").otherwise(F.col("Zone"))).drop("of_haul", "moved")
+
+
+def species_with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class table with some codes twice."""
+    classed = species(spark, sf_dir)
+    return classed.unionByName(classed.filter((F.col("TSN") - 100000) % 97 == 5))
+
+
+def segments_as_text(spark: SparkSession) -> DataFrame:
+    """The layer from polygon text."""
+    rings: dict[int, list[str]] = {}
+    for code, _, x, y in VERTICES:
+        rings.setdefault(code, []).append(f"{x} {y}")
+    layer = [(code, f"POLYGON (({', '.join(points)}))") for code, points in rings.items()]
+    return segments_from_wkt(spark.createDataFrame(layer, "segment_code int, wkt string"))
+
+
 def field_descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A field dictionary from the part table: brands are fields; several parts repeat a description."""
     blank = F.lit(None).cast("string")

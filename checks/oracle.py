@@ -106,6 +106,29 @@ _STEPS = {
         FROM numbers n JOIN species l ON l.NODCCODE = n.NODCCODE
         WHERE FHC <> 'D' AND n.NODCCODE <> '9999000000' AND Include_Index = 'Y' AND n.Reference LIKE 'TBM%'
         GROUP BY ALL""",
+    "kept_all": """
+        SELECT * FROM (
+          SELECT Reference, p.Longitude, p.Latitude, Zone, Grid,
+                 CASE WHEN Grid = 363 THEN 'LTB' WHEN Grid IN (203, 220) THEN 'MTB'
+                      WHEN Grid = 204 AND p.Longitude < 27.7937 THEN 'MTB' ELSE bay_segment END AS bay_segment
+          FROM physical p LEFT JOIN within w ON w.Longitude = p.Longitude AND w.Latitude = p.Latitude)
+        WHERE bay_segment NOT IN ('Boca Ceiga', 'Terra Ceia', 'Manatee River')""",
+    "all_sites": """
+        SELECT k.Reference, k.Zone, k.Grid, k.bay_segment, c.* EXCLUDE (Reference, Zone, Grid)
+        FROM catch c RIGHT JOIN kept_all k ON c.Reference = k.Reference AND c.Zone IS NOT DISTINCT FROM k.Zone
+                                          AND c.Grid IS NOT DISTINCT FROM k.Grid""",
+    "flawed": """
+        SELECT CASE WHEN l_linenumber <> 1 OR l_orderkey % 101 <> 0 THEN p.Reference END AS Reference, Sampling_Date, Longitude, Latitude,
+               CASE WHEN l_linenumber = 2 AND l_orderkey % 37 = 0 THEN 'ELSEWHERE' ELSE Zone END AS Zone, Grid,
+               CASE WHEN l_linenumber = 1 AND l_partkey % 70 = 3 THEN NULL WHEN l_partkey % 60 = 7 THEN '77' || l_partkey
+                    WHEN l_linenumber = 1 AND l_orderkey % 43 = 0 THEN '9998000000'
+                    ELSE (8800000000 + l_partkey * 100 + 1)::VARCHAR END AS NODCCODE,
+               l_linenumber = 4 AND l_partkey % 30 = 0 AS unsplit,
+               CASE WHEN l_linenumber = 3 AND l_partkey % 50 = 0 THEN NULL
+                    WHEN l_linenumber = 2 AND l_partkey % 40 = 1 THEN 0 ELSE l_quantity::INTEGER END AS Number
+        FROM lineitem JOIN physical p ON substr(p.Reference, 4)::BIGINT = l_orderkey""",
+    "copied": """
+        SELECT * FROM species UNION ALL SELECT * FROM species WHERE (TSN - 100000) % 97 = 5""",
     "indiv": "SELECT Reference, sum(Total_N) AS NumIndiv FROM total GROUP BY Reference",
     "taxa": """
         SELECT Reference, count(DISTINCT NODCCODE) FILTER (NODCCODE <> '9998000000')::DOUBLE AS NumTaxa,
@@ -246,13 +269,20 @@ def _compare() -> str:
     plain = ",\n".join(f"{name} AS ({body.strip()})" for name, body in _PLAIN.items())
     parts = " UNION ALL ".join(
         f"SELECT a.Reference, 'differs' AS status, '{c}' AS \"column\", round(a.{c}, 6) AS value_a, round(b.{c}, 6) AS value_b, "
-        f"round(abs(a.{c} - b.{c}), 6) AS difference FROM ra a JOIN rb b ON a.Reference = b.Reference "
+        f"round(abs(a.{c} - b.{c}), 6) AS difference FROM ra a JOIN rb b ON a.Reference IS NOT DISTINCT FROM b.Reference "
         f"WHERE abs(a.{c} - b.{c}) > 0.1"
         for c in ("NumTaxa", "NumIndiv", "Shannon", "Taxa90")
     )
+
+    def table(metric: str, left_out: int) -> str:
+        rows = f"SELECT Reference, NumTaxa, NumIndiv, round(Shannon, 6) AS Shannon, Taxa90 FROM {metric} WHERE NumTaxa <> {left_out}"
+        return f"({rows}) UNION ALL SELECT NULL, max(NumTaxa), max(NumIndiv), max(Shannon), max(Taxa90) FROM ({rows})"
+
+    lone = "SELECT {0}.Reference, 'only_{0}', NULL, NULL, NULL, NULL FROM r{0} {0} WHERE NOT EXISTS (SELECT 1 FROM r{1} o WHERE o.Reference IS NOT DISTINCT FROM {0}.Reference)"
     return (
-        f"{start},\n{plain},\nra AS (SELECT * REPLACE (round(Shannon, 6) AS Shannon) FROM metric),\n"
-        f"rb AS (SELECT * REPLACE (round(Shannon, 6) AS Shannon) FROM metric0)\n{parts}"
+        f"{start},\n{plain},\nra AS ({table('metric', 1)}),\nrb AS ({table('metric0', 3)})\n{parts}\n"
+        f"UNION ALL {lone.format('a', 'b')}\nUNION ALL {lone.format('b', 'a')}\n"
+        "UNION ALL SELECT NULL, 'column_only_a', 'NumGuilds', NULL, NULL, NULL"
     )
 
 
@@ -269,7 +299,7 @@ ORACLE: dict[str, str] = {
     "override_segments_documented": _after(
         "kept", "SELECT * FROM kept", kept=_STEPS["kept"].replace("Longitude < 27.7937", "Latitude < 0.5")
     ),
-    "attach_segments": _after("seg_catch", f"SELECT {_DATED} FROM seg_catch"),
+    "attach_segments": _after("all_sites", f"SELECT {_DATED} FROM all_sites"),
     "expanded_counts": _after(
         "numbers",
         """
@@ -339,7 +369,7 @@ ORACLE: dict[str, str] = {
         f"""
         SELECT Reference, Year, bay_segment, Longitude, Latitude, round(Index_Score, 6) AS Index_Score, SegScore,
                {_COLOUR.format("Index_Score")} AS MapCol
-        FROM score JOIN ({_MEANS}) USING (Year, bay_segment)""",
+        FROM (SELECT * FROM score WHERE Year = 1999) LEFT JOIN ({_MEANS}) USING (Year, bay_segment)""",
     ),
     "year_map_segments": _after(
         "score",
@@ -366,19 +396,31 @@ ORACLE: dict[str, str] = {
     ),
     "compare_tables": _compare(),
     "quality_report": _after(
-        "seg_catch",
+        "copied",
         """
         SELECT 'unknown_code' AS "check", item, count(*) AS n
-        FROM (SELECT NODCCODE, unnest(['Est_Cat', 'Feeding_Guild']) AS item,
-                     unnest([Est_Cat IN ('MS', 'ES', 'FS'), Feeding_Guild IN ('ZB', 'PV', 'ZP', 'OV', 'HV', 'DV')]) AS known
-              FROM species WHERE Include_Index = 'Y' AND NODCCODE <> '9998000000')
+        FROM (SELECT unnest(['Hab_Cat', 'Est_Cat', 'Est_Use', 'Feeding_Cat', 'Feeding_Guild']) AS item,
+                     unnest([Hab_Cat IN ('B', 'P'), Est_Cat IN ('MS', 'ES', 'FS'), Est_Use IN ('O', 'S', 'F'), Feeding_Cat IN ('TS', 'TG'),
+                             Feeding_Guild IN ('ZB', 'PV', 'ZP', 'OV', 'HV', 'DV')]) AS known
+              FROM copied WHERE Include_Index = 'Y' AND NODCCODE <> '9998000000')
         WHERE NOT known GROUP BY item
-        UNION ALL
-        SELECT 'zero_count', 'Number', count(*) FROM seg_catch WHERE Number = 0 AND NODCCODE NOT IN ('9998000000', '9999000000') HAVING count(*) > 0
-        UNION ALL
-        SELECT 'mixed_no_fish', 'Reference', count(*)
-        FROM (SELECT Reference FROM seg_catch GROUP BY Reference
-              HAVING bool_or(NODCCODE = '9998000000') AND bool_or(NODCCODE <> '9998000000'))
+        UNION ALL SELECT 'null_value', item, sum(missing::INTEGER)
+        FROM (SELECT unnest(['Reference', 'NODCCODE', 'Number']) AS item,
+                     unnest([Reference IS NULL, NODCCODE IS NULL, Number IS NULL]) AS missing FROM flawed)
+        GROUP BY item HAVING sum(missing::INTEGER) > 0
+        UNION ALL SELECT 'split_without_level', 'Splitlevel', count(*) FROM flawed WHERE unsplit HAVING count(*) > 0
+        UNION ALL SELECT 'zero_count', 'Number', count(*) FROM flawed
+        WHERE Number = 0 AND NODCCODE NOT IN ('9998000000', '9999000000') HAVING count(*) > 0
+        UNION ALL SELECT 'duplicate_class', NODCCODE, count(*) FROM copied GROUP BY NODCCODE HAVING count(*) > 1
+        UNION ALL SELECT 'unclassified_species', NODCCODE, count(*) FROM flawed
+        WHERE NODCCODE NOT IN (SELECT NODCCODE FROM copied) GROUP BY NODCCODE
+        UNION ALL SELECT 'mixed_no_fish', 'Reference', count(*)
+        FROM (SELECT Reference FROM flawed GROUP BY Reference
+              HAVING bool_or(NODCCODE = '9998000000') AND bool_or(NODCCODE IS DISTINCT FROM '9998000000'))
+        HAVING count(*) > 0
+        UNION ALL SELECT 'varying_attributes', 'Reference', count(*)
+        FROM (SELECT Reference FROM (SELECT DISTINCT Reference, Sampling_Date, Longitude, Latitude, Zone, Grid FROM flawed)
+              GROUP BY Reference HAVING count(*) > 1)
         HAVING count(*) > 0""",
     ),
     "field_metadata": """
@@ -389,4 +431,16 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'Commonname', 'Character', NULL, NULL, NULL, 'Common name for each species', NULL, NULL
         UNION ALL SELECT 'effort', 'Decimal', NULL, 'per 100 m2', NULL, 'effort expressed per 100 m2', NULL, NULL
         UNION ALL SELECT 'Number', 'Integer', NULL, 'individuals', NULL, 'Number of individuals collected', NULL, NULL""",
+    "assign_segments_text": _after("assigned", "SELECT * FROM assigned"),
+    "damaged_codes": _after("haul_metric", f"SELECT {_ROUNDED_METRICS} FROM haul_metric"),
+    "damaged_codes_stepwise": _after("haul_metric", f"SELECT {_ROUNDED_METRICS} FROM haul_metric"),
+    "assemble": _metric("NumTaxa, NumIndiv, round(Shannon, 6) AS Shannon, TaxaSelect, SelectIndiv, NumGuilds, Taxa90"),
+    "csv_species": _after("species", "SELECT * RENAME (Scientificname AS ScientificName) FROM species"),
+    "csv_scores": _after(
+        "score",
+        """
+        SELECT * REPLACE (round(Index_Score, 6) AS Index_Score),
+               (SELECT 'scores_' || min(Year) || '-' || max(Year) FROM score) AS file
+        FROM score""",
+    ),
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,9 +34,10 @@ from haulscore.operators import (
     year_map_segments,
     yearly_scores,
 )
-from haulscore.operators.metrics import pick
-from haulscore.plans import haul_metrics, run_index, score_hauls, survey_counts, survey_hauls
-from haulscore.runtime import settle
+from haulscore.operators.metrics import assemble, pick
+from haulscore.plans import SurveyTables, haul_metrics, run_index, score_hauls, survey_counts, survey_hauls
+from haulscore.runtime import settle, shared_folder
+from haulscore.sources import read_csv, write_csv, write_scores
 
 from . import fixtures as fx
 
@@ -76,11 +78,6 @@ def _catch_with_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attach_segments(catch, override_segments(_placed(spark, catch)))
 
 
-def _all_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Metrics of every haul of the bay, before hauls are selected."""
-    return sample_metrics(survey_counts(fx.survey(spark, sf_dir), fx.SETTINGS), fx.SENTINEL)
-
-
 def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return settle(haul_metrics(fx.survey(spark, sf_dir), fx.SETTINGS), "metrics")
 
@@ -95,7 +92,7 @@ def _bands(scores: DataFrame) -> DataFrame:
 
 def _picked(*names: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        metrics = pick(_all_metrics(spark, sf_dir), names)
+        metrics = pick(survey_counts(fx.survey(spark, sf_dir), fx.SETTINGS), names, fx.SENTINEL)
         return _rounded(metrics, *[n for n in names if n in ("Shannon", "Simpson", "Pielou") or n.startswith("Prop")])
 
     return query
@@ -122,7 +119,16 @@ def query_override_segments_documented(spark: SparkSession, sf_dir: str) -> Data
 
 
 def query_attach_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _dated(_catch_with_segments(spark, sf_dir))
+    """Sites of all hauls, also of those without a record in the catch table."""
+    catch = settle(_catch(spark, sf_dir), "catch")
+    sites = fx.physical(spark, sf_dir).select("Reference", "Longitude", "Latitude", "Zone", "Grid")
+    kept = override_segments(assign_segments(sites, fx.segments(spark), fx.CELL_SIZE))
+    return _dated(attach_segments(catch, settle(kept, "sites")))
+
+
+def query_assign_segments_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments from a layer given as polygon text."""
+    return assign_segments(distinct_sites(_catch(spark, sf_dir)), fx.segments_as_text(spark), fx.CELL_SIZE)
 
 
 def query_prepare_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -224,9 +230,16 @@ def query_compare_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = fx.survey(spark, sf_dir)
     raw = tables.numbers.withColumns({"Splittype": F.lit(None).cast("string"), "Splitlevel": F.lit(None).cast("string")})
     names = ["NumTaxa", "NumIndiv", "Shannon", "Taxa90"]
-    left = pick(sample_metrics(survey_counts(tables, fx.SETTINGS), fx.SENTINEL), names)
+    left = pick(survey_counts(tables, fx.SETTINGS), [*names, "NumGuilds"], fx.SENTINEL)
     unexpanded = survey_counts(fx.replace_numbers(tables, raw), fx.SETTINGS)
-    right = pick(sample_metrics(unexpanded, fx.SENTINEL), names)
+    right = pick(unexpanded, names, fx.SENTINEL)
+
+    def with_total(frame: DataFrame) -> DataFrame:
+        """One row more, without a key: the largest values."""
+        largest = frame.agg(*[F.max(c).alias(c) for c in frame.columns if c != "Reference"])
+        return frame.unionByName(largest.withColumn("Reference", F.lit(None).cast("string")))
+
+    left, right = with_total(left.filter("NumTaxa <> 1")), with_total(right.filter("NumTaxa <> 3"))
     differences = compare_tables(_rounded(left, "Shannon"), _rounded(right, "Shannon"))
     return _rounded(
         differences.withColumns({v: F.round(F.col(v).cast("double"), DIGITS) for v in ("value_a", "value_b")}),
@@ -246,7 +259,47 @@ def query_expanded_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def query_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_report(settle(_catch_with_segments(spark, sf_dir), "catch-segments"), fx.species(spark, sf_dir))
+    flawed = settle(fx.flawed_catch(spark, sf_dir), "flawed-catch")
+    return quality_report(flawed, fx.species_with_copies(spark, sf_dir))
+
+
+def _damaged(spark: SparkSession, sf_dir: str) -> SurveyTables:
+    return fx.replace_numbers(fx.survey(spark, sf_dir), fx.damaged_numbers(spark, sf_dir))
+
+
+def query_damaged_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics from records with codes in scientific notation, by the fused chain."""
+    return _rounded_metrics(haul_metrics(_damaged(spark, sf_dir), fx.SETTINGS))
+
+
+def query_damaged_codes_stepwise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same operator by operator."""
+    tables = _damaged(spark, sf_dir)
+    catch = settle(build_catch(_samples(spark, sf_dir), tables.numbers, tables.species_list), "catch")
+    counts = prepare_counts(attach_segments(catch, override_segments(_placed(spark, catch))), tables.species)
+    return _rounded_metrics(sample_metrics(counts, fx.SENTINEL))
+
+
+def query_assemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metric tables made one by one and joined by haul."""
+    counts = settle(survey_counts(fx.survey(spark, sf_dir), fx.SETTINGS), "counts")
+    groups = (["NumTaxa", "NumIndiv"], ["Shannon"], ["TaxaSelect", "SelectIndiv"], ["NumGuilds"], ["Taxa90"])
+    return _rounded(assemble(*[pick(counts, names, fx.SENTINEL) for names in groups]), "Shannon")
+
+
+def query_csv_species(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class table written as CSV and read again; blank codes stay blank."""
+    path = f"{shared_folder(spark).rstrip('/')}/haulscore/csv-{uuid.uuid4().hex}"
+    classed = fx.species(spark, sf_dir)
+    write_csv(classed, path, order_by=["NODCCODE"])
+    return read_csv(spark, path, classed.schema, blank_is_value=("Est_Cat", "Feeding_Guild"))
+
+
+def query_csv_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores written under the name of their years and read again, with the name."""
+    scores = settle(query_index_scores(spark, sf_dir), "scores")
+    path = write_scores(scores, f"{shared_folder(spark).rstrip('/')}/haulscore/csv-{uuid.uuid4().hex}")
+    return read_csv(spark, path, scores.schema).withColumn("file", F.lit(path.rpartition("/")[2]))
 
 
 def query_field_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -299,4 +352,10 @@ QUERIES: dict[str, Query] = {
     "compare_tables": query_compare_tables,
     "quality_report": query_quality_report,
     "field_metadata": query_field_metadata,
+    "assign_segments_text": query_assign_segments_text,
+    "damaged_codes": query_damaged_codes,
+    "damaged_codes_stepwise": query_damaged_codes_stepwise,
+    "assemble": query_assemble,
+    "csv_species": query_csv_species,
+    "csv_scores": query_csv_scores,
 }
