@@ -58,6 +58,11 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), BLANKS), lambda w: w != "")
 
 
+def once(value: Column) -> Column:
+    """The value, computed once a row: a filter on it is not pushed below, where its parts would be worked out again and again."""
+    return F.explode(F.array(value))
+
+
 def crc32_of_id(doc_id: Column) -> Column:
     """crc32 of the id's decimal text; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
@@ -85,7 +90,7 @@ def slices(starts: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
 
 
 def with_arrow(
-    docs: DataFrame, text: str, fields: Sequence[T.StructField], compute: Callable[[pa.RecordBatch], Sequence[pa.Array]], most: int = 8 << 20, drop: Sequence[str] = ()
+    docs: DataFrame, text: str, fields: Sequence[T.StructField], compute: Callable[[pa.RecordBatch], Sequence[pa.Array]], most: int = 2 << 20, drop: Sequence[str] = ()
 ) -> DataFrame:
     """Add columns that ``compute`` makes of Arrow batches of about ``most`` bytes of text; the others pass through as they are.
 

@@ -14,7 +14,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from llm.common import words
+from llm.common import once, words
 
 SHINGLE_WORDS = 5
 # The share of all hashes that a sketch retains, as a power of two: 2 ** -SCALE_BITS.
@@ -53,7 +53,7 @@ def with_sketch(docs: DataFrame, text: str, out: str, n: int = SHINGLE_WORDS, sc
         docs.withColumn(f"_{out}_t", words(F.col(text)))
         .withColumn(f"_{out}_h", shingles)
         .withColumn(f"_{out}_k", F.array_distinct(F.filter(hashes, lambda h: _retained(h, scale_bits))))
-        .withColumn(out, F.when(F.size(kept) >= floor, F.sort_array(kept)).otherwise(least))
+        .withColumn(out, once(F.when(F.size(kept) >= floor, F.sort_array(kept)).otherwise(least)))
         .drop(f"_{out}_t", f"_{out}_h", f"_{out}_k")
     )
 
@@ -108,7 +108,10 @@ def with_next(docs: DataFrame, key: str, text: str, out: str, buckets: int | Non
     cuts = keyed.select("_place").agg(F.percentile_approx("_place", [i / buckets for i in range(1, buckets)], 100 * buckets)).first()[0] if buckets > 1 else []
     splits = [float("-inf"), *sorted(set(cuts or [])), float("inf")]
     # Whole numbers: a window over a float key would shuffle anew.
-    keyed = Bucketizer(splits=splits, inputCol="_place", outputCol="_bucket").transform(keyed).withColumn("_bucket", F.col("_bucket").cast("int"))
+    if len(splits) > 2:
+        keyed = Bucketizer(splits=splits, inputCol="_place", outputCol="_bucket").transform(keyed).withColumn("_bucket", F.col("_bucket").cast("int"))
+    else:
+        keyed = keyed.withColumn("_bucket", F.lit(0))
     # One row for each range: its least key, and the range before it (the last one's successor is the first range).
     firsts = keyed.groupBy("_bucket").agg(F.min("_key").alias("_key"))
     before = Window.orderBy("_bucket")

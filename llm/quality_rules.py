@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import settle, words
+from llm.common import once, settle, words
 
 # White space as characters, and the characters that count as symbols.
 BLANK_CHARS = " \t\n\x0b\x0c\r"
@@ -83,18 +83,23 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
             ),
         )
         .withColumn(
-            "n_repeat_words",
-            F.aggregate(
-                F.transform(hits, lambda i, k: F.coalesce(F.least(F.get(hits, k + 1) - i, F.lit(3)), F.lit(3))),
-                F.lit(0).cast("long"),
-                lambda total, x: total + x,
+            "_measures",
+            once(
+                F.struct(
+                    F.size(tokens).cast("long").alias("n_words"),
+                    F.length(F.translate(column, BLANK_CHARS, "")).cast("long").alias("word_chars"),
+                    (F.length(column) - F.length(F.translate(column, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+                    (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
+                    F.aggregate(
+                        F.transform(hits, lambda i, k: F.coalesce(F.least(F.get(hits, k + 1) - i, F.lit(3)), F.lit(3))),
+                        F.lit(0).cast("long"),
+                        lambda total, x: total + x,
+                    ).alias("n_repeat_words"),
+                )
             ),
         )
-        .withColumn("n_words", F.size(tokens).cast("long"))
-        .withColumn("word_chars", F.length(F.translate(column, BLANK_CHARS, "")).cast("long"))
-        .withColumn("n_symbols", (F.length(column) - F.length(F.translate(column, SYMBOLS, ""))).cast("long"))
-        .withColumn("n_dup_lines", (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"))
-        .drop("_tokens", "_hashes", "_places", "_hits")
+        .withColumns({name: F.col(f"_measures.{name}") for name in MEASURES})
+        .drop("_tokens", "_hashes", "_places", "_hits", "_measures")
     )
 
 
