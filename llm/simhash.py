@@ -101,7 +101,6 @@ def spanning_links(group: np.ndarray, distance: int = DISTANCE) -> list[tuple[in
 
 def links(fingerprints: DataFrame, column: str = "fingerprint", distance: int = DISTANCE, most: int = MOST_IN_GROUP) -> DataFrame:
     """(a, b) links between different fingerprints that connect exactly what lies within ``distance`` bits, step by step."""
-    spark = fingerprints.sparkSession
     level = fingerprints.select(F.col(column).alias("f")).distinct()
     masks = {0: first_masks(distance=distance)}
     level = level.withColumn("old", F.lit(0).cast("long"))
@@ -114,9 +113,10 @@ def links(fingerprints: DataFrame, column: str = "fingerprint", distance: int =
             yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["a", "b"])
 
     while True:
-        steps = [(_signed(old), _signed(new)) for old, news in masks.items() for new in news]
-        finer = spark.createDataFrame(steps, "old long, mask long")
-        rows = level.join(F.broadcast(finer), "old").select("f", "mask", F.col("f").bitwiseAND(F.col("mask")).alias("key"))
+        finer = F.element_at(
+            F.create_map(*(x for old, news in masks.items() for x in (F.lit(_signed(old)), F.array(*(F.lit(_signed(new)) for new in news))))), F.col("old")
+        )
+        rows = level.select("f", F.explode(finer).alias("mask")).withColumn("key", F.col("f").bitwiseAND(F.col("mask")))
         sizes = settle(rows.groupBy("mask", "key").agg(F.count("*").alias("n")).where("n > 1"), "simhash-groups")
         small = rows.join(sizes.where(F.col("n") <= most), ["mask", "key"])
         groups = small.groupBy("mask", "key").agg(F.collect_list("f").alias("group")).select("group")
@@ -127,7 +127,7 @@ def links(fingerprints: DataFrame, column: str = "fingerprint", distance: int =
             return out
         # Two masks may meet in a finer one; the same fingerprint needs it once.
         level = settle(rows.join(large.select("mask", "key"), ["mask", "key"]).select("f", F.col("mask").alias("old")), "simhash-large")
-        masks = {news % (1 << 64): finer_masks(news % (1 << 64), distance) for news in {new for _, new in steps}}
+        masks = {new: finer_masks(new, distance) for news in masks.values() for new in news}
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle_words: int = SHINGLE_WORDS, distance: int = DISTANCE) -> DataFrame:
