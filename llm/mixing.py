@@ -56,7 +56,7 @@ def _bisect(sources: DataFrame, low: float, high: float, enough) -> float:
     parts = 1 << LEVELS
     for _ in range(PASSES):
         grid = [low + (high - low) * i / parts for i in range(parts + 1)]
-        asked = sources.crossJoin(F.broadcast(sources.sparkSession.createDataFrame([(a,) for a in grid], "a double")))
+        asked = sources.withColumn("a", F.explode(F.array(*(F.lit(a) for a in grid))))
         answers = {row["a"]: row["yes"] for row in enough(asked).collect()}  # one row for each exponent of the grid
         good = next((i for i, a in enumerate(grid) if answers.get(a)), None)
         if good is None:
