@@ -35,7 +35,7 @@ LONGEST_TRAINING_TEXT = 65_536
 # Context nodes kept, by how often they occur; a context occurs at least twice.
 MAX_NODES = 12_000
 # Bytes that walk at once.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 UNDETERMINED = "und"
 
 
