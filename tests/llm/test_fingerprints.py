@@ -1,0 +1,88 @@
+"""Threshold-scaled sketches against exact likeness and plain Python."""
+
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from llm import fingerprints
+from tests.llm.cases import awkward, empty, frame, prose
+
+
+def sketches(spark, texts, **more):
+    docs = spark.createDataFrame(list(enumerate(texts)), "i long, text string")
+    return fingerprints.with_sketch(docs, "text", "sketch", **more)
+
+
+def test_retains_every_hash_below_the_threshold(spark):
+    text = prose(1, 3000)
+    words = text.split()
+    shingles = spark.createDataFrame([(words[i : i + 5],) for i in range(len(words) - 4)], "s array<string>")
+    hashes = {r.h for r in shingles.select(F.xxhash64("s").alias("h")).collect()}
+    want = sorted(h for h in hashes if 0 <= h < 1 << 61)
+    assert sketches(spark, [text]).first().sketch == want
+
+
+def test_short_texts_keep_their_least_hashes(spark):
+    rows = sketches(spark, [None, "", "one two", " one  two ", prose(2, 12)]).orderBy("i").collect()
+    assert [len(r.sketch) for r in rows] == [0, 0, 1, 1, 8]
+    assert rows[2].sketch == rows[3].sketch
+    unsigned = [h % (1 << 64) for h in rows[4].sketch]
+    assert unsigned == sorted(unsigned)
+
+
+def test_likeness_and_containment_are_near_the_exact_ones(spark):
+    base = prose(3, 4000).split()
+    other = prose(4, 40_000).split()
+    pairs = [(base, base[:2000]), (base, base[1000:] + other[:1000]), (base[:300], base + other), (base, other[:4000]), (base[:12], base[:12] + other[:8])]
+    docs = spark.createDataFrame([(i, " ".join(a), " ".join(b)) for i, (a, b) in enumerate(pairs)], "i long, a string, b string")
+    both = fingerprints.with_sketch(fingerprints.with_sketch(docs, "a", "sa"), "b", "sb")
+    got = both.select("i", fingerprints.likeness(F.col("sa"), F.col("sb")).alias("j"), fingerprints.containment(F.col("sa"), F.col("sb")).alias("c")).collect()
+    for row in got:
+        a, b = ({tuple(x[k : k + 5]) for k in range(len(x) - 4)} for x in pairs[row.i])
+        assert abs(row.j - len(a & b) / len(a | b)) < 0.1
+        assert abs(row.c - len(a & b) / len(a)) < 0.15
+
+
+def test_sketches_merge(spark):
+    a, b = prose(5, 500), prose(6, 30)
+    s = {r.i: r.sketch for r in sketches(spark, [a, b]).collect()}
+    merged = spark.createDataFrame([(s[0], s[1])], "a array<long>, b array<long>").select(fingerprints.merge(F.col("a"), F.col("b")).alias("m")).first().m
+    assert set(merged) == {h for h in s[0] + s[1] if 0 <= h < 1 << 61}
+
+
+@pytest.mark.parametrize("buckets", [1, 3, 40])
+def test_next_document(spark, buckets):
+    rows = [(r[0], r[1]) for r in awkward()] + [(1000 + 7 * i, f"text {i}") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = fingerprints.with_next(docs, "doc_id", "text", "following", buckets=buckets).collect()
+    order = sorted(((-(1 << 63) if i is None else i, (t or "").encode()) for i, t in rows))
+    want = sorted((i, t, order[(k + 1) % len(order)][1]) for k, (i, t) in enumerate(order))
+    assert sorted((-(1 << 63) if r.doc_id is None else r.doc_id, r.text.encode(), r.following.encode()) for r in got) == want
+
+
+def test_edited_text(spark):
+    rows = [("abcdefgh", "XYZ"), ("abcdefgh", "X"), ("abc", "XYZ"), ("", "XYZ"), ("🙂é🙂é", "日本")]
+    got = spark.createDataFrame(rows, "a string, b string").select(fingerprints.edited(F.col("a"), F.col("b")).alias("e")).collect()
+    assert [r.e for r in got] == ["abcdefXY", "abcdefX", "abc", "", "🙂é🙂日"]
+
+
+def test_query_matches_a_literal_reading(spark, tmp_path):
+    from llm.queries import op10_document_fingerprints
+
+    rows = [(i, prose(i, 20 + 9 * i)) for i in range(30)] + [(50, None), (51, ""), (52, prose(3, 47)), (53, prose(3, 47))]
+    frame(spark, [(i, t, None, None, None) for i, t in rows]).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in op10_document_fingerprints(spark, str(tmp_path)).collect()}
+    for k, (i, t) in enumerate(rows):
+        t, after = t or "", rows[(k + 1) % len(rows)][1] or ""
+        q = len(t) // 4
+        edited = t[: len(t) - q] + after[:q]
+        assert (got[i].n_chars, got[i].edited_sha256) == (len(t), hashlib.sha256(edited.encode()).hexdigest())
+        assert 0 <= got[i].near_edited <= 1 and 0 <= got[i].near_next <= 1
+    assert got[52].fingerprint == got[53].fingerprint and got[52].near_next == 1.0
+    assert got[50].fingerprint == "" and got[50].near_edited == 1.0
+
+
+def test_empty_table(spark):
+    out = fingerprints.with_next(empty(spark), "doc_id", "text", "following")
+    assert out.count() == 0

@@ -1,0 +1,127 @@
+"""PPM language identification: exact code lengths, held-out accuracy, awkward documents."""
+
+import math
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from llm import language_id
+from llm.queries import op3_language_id
+from tests.llm.cases import awkward, empty, frame
+
+
+def literal_bits(training, order, min_count, text):
+    """Bits of a text under each language by recursion over contexts, escape method C with exclusion."""
+    raw = {l: [t.lower().encode() for m, t in training if m == l] for l in sorted({l for l, _ in training})}
+    overall, counts = Counter(), {l: defaultdict(Counter) for l in raw}
+    for l, texts in raw.items():
+        for t in texts:
+            for i in range(len(t)):
+                for d in range(order + 1):
+                    if i >= d:
+                        counts[l][t[i - d : i]][t[i]] += 1
+                        overall[t[i - d : i]] += 1
+    known = lambda c: c == b"" or (overall[c] >= min_count and known(c[1:]))
+
+    def chances(l, context):
+        shorter = {b: 1 / 256 for b in range(256)} if context == b"" else chances(l, context[1:])
+        seen = counts[l][context]
+        n, kinds = sum(seen.values()), len(seen)
+        if not n:
+            return shorter
+        left = sum(p for b, p in shorter.items() if b not in seen)
+        return {b: seen[b] / (n + kinds) if b in seen else kinds / (n + kinds) * p / left for b, p in shorter.items()}
+
+    out, data = {}, text.lower().encode()
+    for l in raw:
+        total = 0.0
+        for i, b in enumerate(data):
+            d = max(d for d in range(min(order, i) + 1) if known(data[i - d : i]))
+            total -= math.log2(chances(l, data[i - d : i])[b])
+        out[l] = total
+    return out
+
+
+TRAINING = [("xx", "abracadabra abrakadabra"), ("xx", "abba"), ("yy", "über die Brücke über"), ("yy", "abend"), ("zz", "la la la lalala")]
+
+
+@pytest.mark.parametrize("order", [0, 2, 3])
+def test_code_lengths_are_exact(order):
+    model = language_id.fit(TRAINING, order=order, max_nodes=10_000)
+    texts = ["abracadabra", "ü", "Die Lala", "☃ never seen ☃", "", "a"]
+    raw = [t.lower().encode() for t in texts]
+    starts = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+    got = language_id.code_lengths(model, np.frombuffer(b"".join(raw), np.uint8), starts)
+    for row, text in zip(got, texts, strict=True):
+        want = literal_bits(TRAINING, order, 2, text)
+        assert row == pytest.approx([want[l] for l in model.languages], rel=1e-4, abs=1e-4), text
+
+
+def test_pieces_of_a_long_text_add_up(monkeypatch):
+    model = language_id.fit(TRAINING)
+    data = np.frombuffer(("abra über la " * 400).encode(), np.uint8)
+    starts = np.array([0, 5, 5, 3000, len(data)])
+    whole = language_id.code_lengths(model, data, starts)
+    monkeypatch.setattr(language_id, "CHUNK", 701)
+    assert language_id.code_lengths(model, data, starts) == pytest.approx(whole)
+
+
+def languages(seed, n):
+    """Three made-up languages of their own syllables."""
+    rng = random.Random(seed)
+    kinds = {"p": "ka ro mi tu".split(), "q": "en ung sch ver".split(), "r": "é ion ou au".split()}
+    rows = []
+    for i in range(n):
+        l = rng.choice(sorted(kinds))
+        words = ["".join(rng.choice(kinds[l]) for _ in range(rng.randint(1, 3))) for _ in range(rng.randint(3, 80))]
+        rows.append((i, " ".join(words), l, "s", 0))
+    return rows
+
+
+def test_held_out_accuracy_and_query_columns(spark, tmp_path):
+    rows = languages(1, 400) + [(1000, None, "p", "s", 0), (1001, "123 !!", "q", "s", 0), (1002, "karo", None, "s", 0)]
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in op3_language_id(spark, str(tmp_path)).collect()}
+    assert len(got) == len(rows)
+    held = [r for r in rows[:400] if got[r[0]].held_out]
+    assert len(held) > 80 and sum(got[r[0]].lang_pred == r[2] for r in held) / len(held) > 0.98
+    assert (got[1000].lang_pred, got[1000].score) == ("und", 0.0) == (got[1001].lang_pred, got[1001].score)
+    assert got[1002].lang_pred == "p"
+    assert all(0 <= r.score <= 1 for r in got.values())
+
+
+def test_labels_of_held_out_documents_teach_nothing(spark, tmp_path):
+    rows = languages(2, 120)
+    for name, change in (("a", lambda r: r), ("b", lambda r: (*r[:2], "zz", *r[3:]))):
+        import zlib
+
+        frame(spark, [change(r) if zlib.crc32(str(r[0]).encode()) % 3 == 1 else r for r in rows]).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+    a, b = ({tuple(r) for r in op3_language_id(spark, f"{tmp_path}/{x}").collect()} for x in "ab")
+    assert a == b
+
+
+def test_training_sample_is_bounded(spark):
+    docs = frame(spark, languages(3, 300))
+    drawn = language_id.training_sample(docs, per_language=5)
+    assert Counter(l for l, _ in drawn) == {"p": 5, "q": 5, "r": 5}
+    assert language_id.training_sample(docs, longest=0) == []
+
+
+def test_awkward_documents(spark):
+    rows = awkward()
+    docs = frame(spark, rows).withColumnRenamed("source", "score")
+    model = language_id.fit(language_id.training_sample(docs))
+    got = language_id.identify(docs, model).collect()
+    assert len(got) == len(rows)
+    assert got[0].__fields__ == ["doc_id", "text", "lang", "n_chars", "lang_pred", "score", "bits_per_byte"]
+    for r in got:
+        assert (r.lang_pred == "und") == (r.text is None or not any(c.isalpha() for c in r.text))
+    assert {r.lang_pred for r in language_id.identify(docs, None).collect()} == {"und"}
+
+
+def test_empty_table(spark):
+    assert language_id.fit(language_id.training_sample(empty(spark))) is None
+    model = language_id.fit(TRAINING)
+    assert language_id.identify(empty(spark), model).count() == 0

@@ -1,0 +1,106 @@
+"""Tokenizing and packing: exact ids, gapless sequences, nearly as few as possible."""
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from llm import packing
+from llm.queries import op7_best_fit_packing
+from tests.llm.cases import awkward, empty, frame, prose
+
+
+def check(rows, capacity):
+    """Sequences are gapless from 0 and within capacity; returns their number."""
+    held = {}
+    for r in rows:
+        held.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for pieces in held.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(held)
+
+
+def literal_best_fit(lengths, capacity):
+    gaps, opened = [], 0
+    for n in sorted(lengths, reverse=True):
+        fit = min((g for g in gaps if g >= n), default=None)
+        if fit is None:
+            opened += 1
+            gaps.append(capacity - n)
+        else:
+            gaps[gaps.index(fit)] -= n
+    return opened
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_plan_is_best_fit_decreasing(seed):
+    rng = random.Random(seed)
+    capacity = rng.choice([1, 7, 64, 1024])
+    lengths = [min(capacity, int(rng.choice([rng.uniform(1, capacity), rng.expovariate(9 / capacity) + 1, 3]))) or 1 for _ in range(rng.choice([0, 5, 700]))]
+    counts = np.bincount(lengths, minlength=capacity + 1) if lengths else np.zeros(capacity + 1, int)
+    steps = packing.plan(counts, capacity)
+    assert len(steps) <= 8 * capacity + 8
+    held = {}
+    for length, _, n, first, each, offset in steps.tolist():
+        for j in range(n):
+            held.setdefault(first + j // each, []).append((offset + j % each * length, length))
+    assert sorted(x for p in held.values() for _, x in p) == sorted(lengths)
+    for pieces in held.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    assert len(held) == literal_best_fit(lengths, capacity)
+
+
+def test_cuts():
+    assert packing.cuts(5, 10) == [(0, 5)] and packing.cuts(10, 10) == [(0, 10)]
+    assert packing.cuts(23, 10) == [(0, 3), (3, 10), (13, 10)] and packing.cuts(20, 10) == [(0, 10), (10, 10)]
+
+
+SPECIAL = ["<|endoftext|>", "a<|endoftext|>b", "\u0085  x y", "naïve ÀÉÎ ﬁ ǅ", "日本語 🙂", " \n\n  a\t b ", "don't we'll I'VE", "x" * 3000, "­​12345 ٣٤", "á é"]
+
+
+def test_fast_and_plain_tokenizers_agree():
+    vocabulary, ranks = packing.default_paths()
+    fast, plain = packing.new_encoder(vocabulary, ranks), packing.new_encoder(vocabulary, None)
+    rng = random.Random(5)
+    latin = ["".join(chr(rng.choice([rng.randint(1, 0x24F), rng.randint(32, 126), 32])) for _ in range(80)) for _ in range(300)]
+    for text in [*SPECIAL, *latin, prose(1, 500), ""]:
+        assert fast(text).tolist() == plain(text).tolist(), text
+
+
+def test_query_against_tokenizers(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    rows = [(r[0], r[1]) for r in awkward() if r[0] is not None] + [(100 + i, t) for i, t in enumerate(SPECIAL)] + [(300 + i, prose(i, 5 + i * 9)) for i in range(60)]
+    frame(spark, [(i, t, None, None, None) for i, t in rows]).repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    plain = Tokenizer.from_file(packing.default_paths()[0])
+    want = []
+    for i, t in rows:
+        ids = [*plain.encode(t or "", add_special_tokens=False).ids, 2]
+        for k, (start, length) in enumerate(packing.cuts(len(ids), 1024)):
+            want.append((i, k, start, length, zlib.crc32(np.array(ids[start : start + length], "<u4").tobytes())))
+    got = op7_best_fit_packing(spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == sorted(want)
+    assert check(got, 1024) <= -(-sum(w[3] for w in want) // 1024) + 1
+
+
+def test_ids_and_other_columns_come_along(spark):
+    rows = awkward()
+    docs = frame(spark, rows).withColumnRenamed("n_chars", "offset").withColumnRenamed("lang", "piece")
+    got = packing.pack_documents(docs, capacity=50, with_ids=True).collect()
+    assert all(len(r.ids) == r.length <= 50 and zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32 for r in got)
+    check(got, 50)
+    assert sum(r.start == 0 for r in got) == len(rows)
+    assert {r.source for r in got} == {"a", "b", None}
+
+
+def test_empty_table(spark):
+    assert packing.pack_documents(empty(spark)).count() == 0

@@ -1,0 +1,68 @@
+"""The rule cascade against plain Python."""
+
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from llm import quality_rules
+from tests.llm.cases import awkward, empty, frame, prose
+
+
+def literal(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    counts = Counter(windows)
+    covered = {i + k for i, w in enumerate(windows) if counts[w] > 1 for k in range(3)}
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return (
+        len(words),
+        sum(map(len, words)),
+        sum(text.count(c) for c in "#*$%&|<>"),
+        len(lines) - len(set(lines)),
+        len(covered),
+    )
+
+
+TEXTS = [
+    None, "", " \n ", "a b c", "a b c a b c", "a a a a", "x y z x y z q x y", "one two\none two\n\n \none two", "# *$ %&|<>",
+    prose(1, 80), prose(1, 40) + " " + prose(1, 40), "Ab" * 3000, "\n".join([prose(3, 12)] * 6), "a\x0bb\x0cc\rd e 🙂",
+]
+
+
+def test_measures_are_the_literal_ones(spark):
+    docs = spark.createDataFrame([(i, t, "mine") for i, t in enumerate(TEXTS)], "doc_id long, text string, n_words string")
+    for row in quality_rules.measured(docs).collect():
+        assert tuple(row[m] for m in quality_rules.MEASURES) == literal(TEXTS[row.doc_id]), TEXTS[row.doc_id]
+
+
+def test_order_changes_no_verdict(spark):
+    rows = awkward() + [(100 + i, t, None, None, None) for i, t in enumerate(TEXTS)]
+    docs = frame(spark, rows)
+    rules = quality_rules.default_rules()
+    plain = quality_rules.measured(docs).select("doc_id", "text", F.lit(True).alias("k"), *(r.rejects.alias(r.name) for r in rules), quality_rules.base_failed().alias("b"))
+    want = Counter((r.doc_id, r.text, not (r.b or any(r[x.name] for x in rules))) for r in plain.collect())
+    for given in (rules, rules[::-1]):
+        got = quality_rules.apply_rules(docs, given).collect()
+        assert Counter((r.doc_id, r.text, r.kept) for r in got) == want
+        assert all(r.kept == (r.rejected_by is None) for r in got)
+
+
+def test_rules_with_more_rejection_come_first(spark):
+    docs = spark.createDataFrame([(i, prose(i, 60)) for i in range(50)], "doc_id long, text string")
+    rules = [quality_rules.Rule("none", F.col("n_words") < 0), quality_rules.Rule("all", F.col("n_words") > 0)]
+    assert [r.name for r in quality_rules.rank_rules(docs, rules)] == ["all", "none"]
+
+
+def test_clean_prose_is_kept_and_junk_is_not(spark):
+    clean = prose(5, 300)
+    junk = {1: "".join(f"{w}### " for w in clean.split()), 2: clean.upper() + "!!", 3: "\n".join(["same line of words here"] * 60), 4: "1 2 3 4 5 " * 40 + prose(1, 12)}
+    docs = spark.createDataFrame([(0, clean), *junk.items()], "doc_id long, text string")
+    assert [r.doc_id for r in quality_rules.apply_rules(docs).where("kept").collect()] == [0]
+
+
+@pytest.mark.parametrize("rules", [None, []])
+def test_empty_table(spark, rules):
+    assert quality_rules.apply_rules(empty(spark), rules).count() == 0
