@@ -1,3 +1,54 @@
-"""SQL for the queries of this package that SQL can express (DuckDB, over the same tables)."""
+"""SQL for the queries of this package that SQL can express (DuckDB, over the same tables).
 
-ORACLE: dict[str, str] = {}
+The other queries rest on hashes, tokenizers or models that SQL does not have; tests hold them against brute force.
+"""
+
+from __future__ import annotations
+
+_WORD = r"[^\x20\x09-\x0D]"
+
+_QUALITY = rf"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+word AS (
+  SELECT *, regexp_extract_all(t, '{_WORD}+') AS w, string_split(t, chr(10)) AS lines,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{_WORD}')) AS worded,
+         len(regexp_extract_all(t, '\p{{Lu}}')) AS upper_case, len(regexp_extract_all(t, '\p{{L}}')) AS letters
+  FROM doc),
+place AS (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM word),
+window3 AS (SELECT r, i, count(*) OVER (PARTITION BY r, w[i], w[i + 1], w[i + 2]) AS copies FROM place),
+covered AS (
+  SELECT r, count(DISTINCT i + k) AS n FROM window3, (VALUES (0), (1), (2)) AS v(k) WHERE copies > 1 GROUP BY r),
+measured AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+         (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+         (len(worded) - len(list_distinct(worded)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words,
+         len(lines) AS n_lines, upper_case, letters
+  FROM word LEFT JOIN covered USING (r)),
+judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measured)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT (
+         n_symbols * 10 > n_words OR word_chars NOT BETWEEN n_words * 2 AND n_words * 20
+         OR (n_dup_lines >= 3 AND n_dup_lines * 10 > n_lines * 3)
+         OR upper_case * 2 > letters OR letters * 2 < word_chars) AS kept
+FROM judged"""
+
+# Each hex digit as four bits, then five bits for each base32 letter.
+_BITS = "sha1(coalesce(html, ''))"
+for _digit in "0123456789abcdef":
+    _BITS = f"replace({_BITS}, '{_digit}', '{''.join('IO'[int(b)] for b in format(int(_digit, 16), '04b'))}')"
+
+_WARC = f"""
+WITH page AS (
+  SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, translate({_BITS}, 'IO', '01') AS bits FROM pages),
+named AS (
+  SELECT page_id, payload_bytes,
+         array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + list_sum(list_transform(range(5), lambda j: substr(bits, (1 + 5 * i + j)::INTEGER, 1)::INTEGER << (4 - j)::INTEGER))::INTEGER, 1)), '') AS payload_digest
+  FROM page),
+best AS (SELECT *, max(page_id) OVER (PARTITION BY payload_bytes, payload_digest) AS largest FROM named)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = largest THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> largest THEN largest END AS refers_to
+FROM best"""
+
+ORACLE: dict[str, str] = {"op4_warc": _WARC, "op5_quality_rules": _QUALITY}
