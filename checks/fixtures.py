@@ -129,12 +129,9 @@ def species(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("Feeding_Guild"),
         F.when(key % 4 == 0, "Y").otherwise("N").alias("Selected_Taxa"),
     )
-    special = spark.createDataFrame(
-        [
-            (9998, "9998000000", "No fish", "No fish", "Y", ".", ".", ".", ".", ".", "N"),
-            (9999, "9999000000", "No gear set", "No gear set", "N", ".", ".", ".", ".", ".", "N"),
-        ],
-        parts.schema,
+    special = spark.sql(
+        "SELECT * FROM VALUES (9998, '9998000000', 'No fish', 'No fish', 'Y', '.', '.', '.', '.', '.', 'N'), "
+        f"(9999, '9999000000', 'No gear set', 'No gear set', 'N', '.', '.', '.', '.', '.', 'N') AS t({', '.join(parts.columns)})"
     )
     return parts.unionByName(special)
 
