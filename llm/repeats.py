@@ -37,10 +37,10 @@ from llm.common import settle, slices, text_bytes
 
 WIDTH = 100
 GRAM = 24
-MOST_PHRASES = 50_000
+MOST_PHRASES = 10_000
 # Bytes parsed at once, and bytes of text whose phrases are compared before the shuffle.
-CHUNK = 1 << 20
-COMBINE = 16 << 20
+CHUNK = 1 << 18
+COMBINE = 8 << 20
 
 _BASE = 0x100000001B3
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -267,7 +267,8 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     triggers = settle(dictionary.groupBy("g").agg(F.count("*").alias("n")).where("n > 1"), "triggers")
 
     def cut_out(chosen: DataFrame) -> DataFrame:
-        listed = dictionary.join(chosen.select("g"), "g").groupBy("doc", "v").agg(F.collect_list(F.struct("g", "lo", "hi")).alias("listed"))
+        # Settled, so that the shuffles of phrases are gone from the disks before texts are shuffled.
+        listed = settle(dictionary.join(chosen.select("g"), "g").groupBy("doc", "v").agg(F.collect_list(F.struct("g", "lo", "hi")).alias("listed")), "listed")
         texts = given.dropDuplicates(["doc", "v"]).join(listed, ["doc", "v"])
         return texts.select("doc", "v", "text", "listed").mapInArrow(lambda b: _cut(b, width), "g long, doc long, v long, lo int, bytes binary")
 
