@@ -14,8 +14,8 @@ from llm.common import settle, table
 
 # A document whose language is undetermined, or less likely than this against the others, goes.
 LEAST_SCORE = 0.5
-# Nine tenths of the tokens, drawn flatter than they come and none twice.
-MIXTURE = mixing.Target(entropy=0.95, most_repeats=1.0, budget=0.9, highest_exponent=1.0)
+# As many tokens as the corpus has, drawn flatter where the sources are too uneven; even sources stay as they are.
+MIXTURE = mixing.Target(entropy=0.95, most_repeats=4.0, budget=1.0, highest_exponent=1.0)
 
 
 def _columns(docs: DataFrame, like: DataFrame) -> DataFrame:
@@ -45,7 +45,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources are drawn to a flatter mixture; nothing is repeated."""
+    """Uneven sources are drawn to a flatter mixture, small ones up to four times; of even ones every document is drawn once."""
     return _columns(mixing.mix(docs, mixing.plan(docs, MIXTURE)), docs)
 
 

@@ -97,7 +97,11 @@ def plan(docs: DataFrame, target: Target, key: str = "doc_id", text: str = "text
     powered = spoken.withColumn("w", F.exp(F.lit(a) * F.col("l")))
     z = powered.agg(F.sum("w")).first()[0] or 1.0
     spend = min(target.budget, target.most_repeats) * tokens
-    budget = F.least(F.floor(F.col("w") / F.lit(z) * F.lit(float(spend)) + F.lit(1e-6)), F.floor(F.col("tokens") * F.lit(target.most_repeats))).cast("long")
+    # What is a whole number of epochs but for rounding and the bisection's last step is that number.
+    exact = F.col("w") / F.lit(z) * F.lit(float(spend))
+    even = F.round(exact / F.col("tokens")) * F.col("tokens")
+    exact = F.when(F.abs(exact - even) <= F.greatest(F.col("tokens") * F.lit(1e-6), F.lit(1e-3)), even).otherwise(exact)
+    budget = F.least(F.round(exact), F.floor(F.col("tokens") * F.lit(target.most_repeats))).cast("long")
     sources = totals.join(powered.select("s", "w"), "s", "left").select("s", "tokens", "docs", F.coalesce(F.col("w") / F.lit(z), F.lit(0.0)).alias("weight"), F.coalesce(budget, F.lit(0)).alias("budget"))
     sources = (
         sources.withColumn("epochs", F.coalesce(F.floor(F.try_divide("budget", "tokens")), F.lit(1)).cast("long"))

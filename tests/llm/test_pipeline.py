@@ -1,6 +1,7 @@
 """The pipeline against a plain reading of its stages."""
 
 import re
+from collections import Counter
 from pathlib import Path
 
 import pytest
@@ -60,6 +61,21 @@ def test_stages_do_what_they_say(spark):
     check(packed, 1024)
 
 
+def test_mixing_cuts_nothing_from_even_sources(spark):
+    rows = [(i, prose(i, 20 + i % 7), "en", f"s{i % 20}", 1) for i in range(400)]
+    mixed = corpus_pipeline.mix_sources(spark, frame(spark, rows), "").collect()
+    assert sorted(r.doc_id for r in mixed) == [r[0] for r in rows]
+
+
+def test_mixing_flattens_a_hot_source_without_losing_small_ones(spark):
+    rows = [(i, prose(i, 20), "en", "hot" if i < 500 else f"s{i % 5}", 1) for i in range(600)]
+    mixed = corpus_pipeline.mix_sources(spark, frame(spark, rows), "").collect()
+    times = Counter(r.doc_id for r in mixed)
+    assert set(times) >= {r[0] for r in rows if r[3] != "hot"} and max(times.values()) <= 4
+    assert len(mixed) == pytest.approx(len(rows), rel=0.02)
+    assert sum(r.source == "hot" for r in mixed) / len(mixed) < 0.6 < 500 / 600
+
+
 def test_run_is_its_stages(spark, tmp_path):
     frame(spark, awkward() + [(100 + i, prose(i, 80), "en", "s", 1) for i in range(20)]).write.parquet(f"{tmp_path}/documents.parquet")
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
