@@ -5,8 +5,10 @@ same. The exponent is bisected until the weights reach a target entropy, and rai
 be repeated more often than the limit allows. Weights times the token budget are the sources' budgets.
 
 A budget is spent in epochs. Each epoch permutes the source's blocks, and the documents inside a block, by hash. Whole epochs take
-every document; the last one takes documents in permuted order while their tokens fit. Where it ends is one cut per source, a block key and a document
-key, so every document decides for itself how often it is drawn. Blocks are summed before they are ordered, and only
+every document; the last one takes documents in permuted order while their tokens fit. If that leaves more than a sixteenth of the source's budget
+unspent, the document that crosses the budget is drawn too where this comes closer. Documents at least twice as long as the last epoch's
+budget cannot come closer and are passed over, so none behind them is lost. A source with any budget gets one document at least, even if that is longer.
+Where the last epoch ends is one cut per source, a block key and a document key, so every document decides for itself how often it is drawn. Blocks are summed before they are ordered, and only
 the one block at the cut is read document by document, so a source with a third of all rows is never sorted as a whole.
 
 Tokens are words. Null and empty texts have none and are drawn with the documents around them. A null source is a source of its own. Rows that
@@ -29,6 +31,8 @@ BLANK_CHARS = " \t\n\x0b\x0c\r"
 BLOCK_DOCS = 1024
 # Bisections that one pass over the sources answers, and passes: 2 ** -30 of the exponent's range is left.
 LEVELS, PASSES = 5, 6
+# A source may stay this share of its budget short: documents are whole.
+SHORT = 1 / 16
 SEED = 17
 
 
@@ -89,7 +93,7 @@ def plan(docs: DataFrame, target: Target, key: str = "doc_id", text: str = "text
     rows = settle(
         docs.select(_named(source).alias("s"), _identity(key, text).alias("h"), token_count(F.col(text)).alias("t")), "mix-rows"
     )
-    totals = settle(rows.groupBy("s").agg(F.sum("t").alias("tokens"), F.count("*").alias("docs")), "mix-sources")
+    totals = settle(rows.groupBy("s").agg(F.sum("t").alias("tokens"), F.count("*").alias("docs"), F.min(F.when(F.col("t") > 0, F.col("t"))).alias("shortest")), "mix-sources")
     whole = totals.agg(F.sum("tokens").alias("t"), F.max("tokens").alias("m"), F.sum((F.col("tokens") > 0).cast("long")).alias("n")).first()
     tokens, largest, n_sources = whole["t"] or 0, whole["m"] or 1, whole["n"] or 0
     spoken = totals.where("tokens > 0").withColumn("l", F.ln(F.col("tokens") / F.lit(float(max(largest, 1)))))
@@ -102,24 +106,34 @@ def plan(docs: DataFrame, target: Target, key: str = "doc_id", text: str = "text
     even = F.round(exact / F.col("tokens")) * F.col("tokens")
     exact = F.when(F.abs(exact - even) <= F.greatest(F.col("tokens") * F.lit(1e-6), F.lit(1e-3)), even).otherwise(exact)
     budget = F.least(F.round(exact), F.floor(F.col("tokens") * F.lit(target.most_repeats))).cast("long")
-    sources = totals.join(powered.select("s", "w"), "s", "left").select("s", "tokens", "docs", F.coalesce(F.col("w") / F.lit(z), F.lit(0.0)).alias("weight"), F.coalesce(budget, F.lit(0)).alias("budget"))
+    budget = F.when(F.col("tokens") > 0, F.greatest(budget, F.lit(1 if spend > 0 else 0).cast("long")))
+    sources = totals.join(powered.select("s", "w"), "s", "left").select("s", "tokens", "docs", "shortest", F.coalesce(F.col("w") / F.lit(z), F.lit(0.0)).alias("weight"), F.coalesce(budget, F.lit(0)).alias("budget"))
     sources = (
         sources.withColumn("epochs", F.coalesce(F.floor(F.try_divide("budget", "tokens")), F.lit(1)).cast("long"))
         .withColumn("rest", (F.col("budget") - F.col("epochs") * F.col("tokens")).cast("long"))
+        # Longer documents are passed over in the last epoch.
+        .withColumn("below", F.greatest(2 * F.col("rest"), F.when((F.col("epochs") == 0) & (F.col("rest") > 0), F.col("shortest") + 1)).cast("long"))
+        .drop("shortest")
         .withColumn("blocks", F.greatest(F.ceil(F.col("docs") / block_docs), F.lit(1)).cast("long"))
         .withColumn("exponent", F.lit(a))
     )
     sources = settle(sources, "mix-budgets")
-    placed = lookup_join(rows, sources.select("s", "epochs", "rest", "blocks"), ["s"], "inner")
+    placed = lookup_join(rows, sources.select("s", "epochs", "rest", "blocks", "budget", "below"), ["s"], "inner").where((F.col("rest") > 0) & (F.col("t") < F.col("below")))
     placed = placed.withColumn("block", _block(F.col("h"), F.col("blocks"))).withColumn("bk", _block_key(F.col("s"), F.col("block"), F.col("epochs"), seed)).withColumn("dk", _doc_key(F.col("h"), F.col("epochs"), seed))
     sums = placed.groupBy("s", "block", "bk", "rest").agg(F.sum("t").alias("t"))
     until = F.sum("t").over(Window.partitionBy("s").orderBy("bk", "block").rowsBetween(Window.unboundedPreceding, 0))
     over = sums.withColumn("until", until).where(F.col("until") > F.col("rest"))
     cut = over.groupBy("s").agg(F.min(F.struct("bk", "block", F.col("rest") - F.col("until") + F.col("t"))).alias("c")).select("s", "c.*").toDF("s", "cut_bk", "cut_block", "room")
     cut = settle(cut, "mix-cuts")
-    inside = placed.join(cut.select("s", F.col("cut_block").alias("block"), "room"), ["s", "block"]).select("s", "dk", "t", "room")
-    fits = inside.withColumn("until", F.sum("t").over(Window.partitionBy("s").orderBy("dk").rangeBetween(Window.unboundedPreceding, 0))).where(F.col("until") <= F.col("room"))
-    ends = fits.groupBy("s").agg(F.max("dk").alias("cut_dk"))
+    inside = placed.join(cut.select("s", F.col("cut_block").alias("block"), "room"), ["s", "block"])
+    inside = inside.groupBy("s", "dk", "room", "rest", "budget", "epochs").agg(F.sum("t").alias("t"))
+    run = inside.withColumn("until", F.sum("t").over(Window.partitionBy("s").orderBy("dk").rowsBetween(Window.unboundedPreceding, 0)))
+    # With the document that crosses, the source is ``until - room`` over its budget; without it, ``short`` below.
+    short = F.col("room") - F.col("until") + F.col("t")
+    closer = (F.col("until") - F.col("room") <= short) & (short > F.col("budget") * SHORT)
+    nothing = (F.col("epochs") == 0) & (short == F.col("rest"))
+    crossing = (F.col("until") - F.col("t") <= F.col("room")) & (closer | nothing)
+    ends = run.where((F.col("until") <= F.col("room")) | crossing).groupBy("s").agg(F.max("dk").alias("cut_dk"))
     cut = cut.join(ends, "s", "left").select("s", "cut_bk", "cut_block", "cut_dk")
     return settle(sources.join(cut, "s", "left").withColumn("source", F.when(F.col("s") != "", F.substring("s", 2, 1 << 30))), "mix-plan")
 
@@ -150,14 +164,16 @@ def mix(docs: DataFrame, planned: DataFrame, key: str = "doc_id", text: str = "t
 
     Adds ``epoch``, ``block``, ``block_key`` and ``doc_key``; an epoch's permutation is the order of (block_key, block, doc_key).
     """
-    cuts = planned.select(F.col("s").alias("_s"), *(F.col(c).alias(f"_{c}") for c in ("epochs", "blocks", "cut_bk", "cut_block", "cut_dk", "rest")))
+    cuts = planned.select(F.col("s").alias("_s"), *(F.col(c).alias(f"_{c}") for c in ("epochs", "blocks", "cut_bk", "cut_block", "cut_dk", "rest", "below")))
     joined = lookup_join(docs.drop("epoch", "block", "block_key", "doc_key").withColumn("_s", _named(source)), cuts, ["_s"], "inner")
     joined = joined.withColumn("_h", _identity(key, text)).withColumn("block", _block(F.col("_h"), F.col("_blocks")))
     bk, dk = _block_key(F.col("_s"), F.col("block"), F.col("_epochs"), seed), _doc_key(F.col("_h"), F.col("_epochs"), seed)
     before = (bk < F.col("_cut_bk")) | ((bk == F.col("_cut_bk")) & (F.col("block") < F.col("_cut_block")))
     at = (bk == F.col("_cut_bk")) & (F.col("block") == F.col("_cut_block")) & F.coalesce(dk <= F.col("_cut_dk"), F.lit(False))
-    partial = (F.col("_rest") > 0) & F.when(F.col("_cut_bk").isNull(), True).otherwise(before | at)
+    # A text has fewer words than bytes: few need counting.
+    eligible = (F.octet_length(F.coalesce(F.col(text), F.lit(""))) < F.col("_below")) | (token_count(F.col(text)) < F.col("_below"))
+    partial = (F.col("_rest") > 0) & eligible & F.when(F.col("_cut_bk").isNull(), True).otherwise(before | at)
     last = F.col("_epochs") - F.when(partial, 0).otherwise(1)
     drawn = joined.withColumn("_last", last).where("_last >= 0").withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_last"))))
     drawn = drawn.withColumn("block_key", _block_key(F.col("_s"), F.col("block"), F.col("epoch"), seed)).withColumn("doc_key", _doc_key(F.col("_h"), F.col("epoch"), seed))
-    return drawn.drop("_epochs", "_blocks", "_cut_bk", "_cut_block", "_cut_dk", "_rest", "_h", "_last", "_s")
+    return drawn.drop("_epochs", "_blocks", "_cut_bk", "_cut_block", "_cut_dk", "_rest", "_below", "_h", "_last", "_s")

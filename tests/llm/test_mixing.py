@@ -83,6 +83,34 @@ def test_budgets_are_met_by_permuted_epochs(spark, block_docs, budget):
         assert blocks == sorted(blocks, key=blocks.index)
 
 
+def numbered(lengths):
+    """Documents of (source, words)."""
+    return [(i, " ".join(f"w{i}" for _ in range(n)), None, s, 0) for i, (s, n) in enumerate(lengths)]
+
+
+def test_sources_of_one_and_two_documents_stay(spark):
+    rows = numbered([(f"one{i}", 5 + i) for i in range(12)] + [(f"two{i // 2}", 10) for i in range(12)] + [("big", 20)] * 60)
+    _, out = drawn(spark, rows, mixing.Target(entropy=None, most_repeats=1.0, budget=0.9))
+    assert {r.doc_id for r in out} >= {r[0] for r in rows if r[3] != "big"}
+    assert max(Counter(r.doc_id for r in out).values()) == 1
+    # The weight of these is worth less than a token of their documents.
+    _, out = drawn(spark, rows, mixing.Target(entropy=None, most_repeats=1.0, budget=0.001))
+    assert {r.source for r in out} == {r[3] for r in rows}
+    assert mixing.plan(frame(spark, rows), mixing.Target(budget=0.0)).where("budget > 0").isEmpty()
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize(("long", "budget"), [(20_000, 0.02), (3_000, 0.74)])
+def test_a_very_long_document_takes_none_along(spark, long, budget, seed):
+    rows = numbered([("a", long)] + [("a", 10)] * 100)
+    docs = frame(spark, rows)
+    planned = mixing.plan(docs, mixing.Target(entropy=None, most_repeats=1.0, budget=budget), seed=seed)
+    out, target = mixing.mix(docs, planned, seed=seed).collect(), planned.first().budget
+    spent = sum(len(r.text.split()) for r in out)
+    # Half the longest document that can come closer.
+    assert out and abs(spent - target) <= max(10, long / 2 if long < 2 * target else 0, target / 16)
+
+
 def test_same_draw_whatever_the_partitions(spark):
     rows = corpus({"a": 90, "b": 30})
     docs = frame(spark, rows)
