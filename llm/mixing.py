@@ -1,8 +1,8 @@
 """Mixing sources to target weights by temperature, in built-in functions only.
 
 A source's weight is its token share raised to an exponent and normalised: 1 keeps the corpus as it is, 0 gives every source the
-same. The exponent is bisected until the weights reach a target entropy, and raised further where a small source would
-be repeated more often than the limit allows. Weights times the token budget are the sources' budgets.
+same. The target entropy is a floor: a corpus that reaches it stays as it is, else the exponent is bisected below 1 until the weights
+reach it, and raised again where a small source would be repeated more often than the limit allows. The entropy reached is a column of the plan. Weights times the token budget are the sources' budgets.
 
 A budget is spent in epochs. Each epoch permutes the source's blocks, and the documents inside a block, by hash. Whole epochs take
 every document; the last one takes documents in permuted order while their tokens fit. If that leaves more than a sixteenth of the source's budget
@@ -38,12 +38,12 @@ SEED = 17
 
 @dataclass(frozen=True)
 class Target:
-    """What the mixture should meet. ``entropy`` is a share of the largest possible one, ln(number of sources)."""
+    """What the mixture should meet. ``entropy``, a share of the largest possible one, ln(number of sources), should be reached or exceeded."""
 
     entropy: float | None = 0.95
     most_repeats: float = 4.0
     budget: float = 1.0  # tokens to draw, as a multiple of the corpus; no more than most_repeats
-    highest_exponent: float = 4.0  # 1 or less never makes large sources larger
+    highest_exponent: float = 1.0  # less than 1 flattens more than the entropy asks for; more than 1 counts as 1: nothing makes large sources larger
 
 
 def token_count(text: Column) -> Column:
@@ -80,7 +80,7 @@ def exponent(sources: DataFrame, target: Target, tokens: int, largest: int, n_so
         wanted = target.entropy * math.log(n_sources)
         # Entropy falls as the exponent rises: look for the last exponent that still reaches the target.
         entropy = F.ln(z) - F.col("a") * zl / z
-        found = _bisect(sources, 0.0, target.highest_exponent, lambda f: f.groupBy("a").agg((entropy <= wanted).alias("yes")))
+        found = _bisect(sources, 0.0, found, lambda f: f.groupBy("a").agg((entropy <= wanted).alias("yes")))
     if found < 1.0:
         # A source is drawn weight * budget / share times, most often for the smallest source.
         ratio = F.max(F.exp(F.col("a") * F.col("l")) / F.exp("l")) / z * (tokens / largest) * budget
@@ -89,7 +89,7 @@ def exponent(sources: DataFrame, target: Target, tokens: int, largest: int, n_so
 
 
 def plan(docs: DataFrame, target: Target, key: str = "doc_id", text: str = "text", source: str = "source", block_docs: int = BLOCK_DOCS, seed: int = SEED) -> DataFrame:
-    """One row per source: tokens, weight, budget, whole epochs, number of blocks, and the cut of the last epoch."""
+    """One row per source: tokens, weight, budget, whole epochs, number of blocks, exponent and entropy reached, and the cut of the last epoch."""
     rows = settle(
         docs.select(_named(source).alias("s"), _identity(key, text).alias("h"), token_count(F.col(text)).alias("t")), "mix-rows"
     )
@@ -99,7 +99,10 @@ def plan(docs: DataFrame, target: Target, key: str = "doc_id", text: str = "text
     spoken = totals.where("tokens > 0").withColumn("l", F.ln(F.col("tokens") / F.lit(float(max(largest, 1)))))
     a = exponent(spoken, target, tokens, largest, n_sources) if n_sources else 1.0
     powered = spoken.withColumn("w", F.exp(F.lit(a) * F.col("l")))
-    z = powered.agg(F.sum("w")).first()[0] or 1.0
+    summed = powered.agg(F.sum("w").alias("z"), F.sum(F.col("w") * F.col("l")).alias("zl")).first()
+    z = summed["z"] or 1.0
+    # Of the weights, as a share of the largest possible one; a lone source has all of it.
+    reached = (math.log(z) - a * (summed["zl"] or 0.0) / z) / math.log(n_sources) if n_sources > 1 else 1.0
     spend = min(target.budget, target.most_repeats) * tokens
     # What is a whole number of epochs but for rounding and the bisection's last step is that number.
     exact = F.col("w") / F.lit(z) * F.lit(float(spend))
@@ -116,6 +119,7 @@ def plan(docs: DataFrame, target: Target, key: str = "doc_id", text: str = "text
         .drop("shortest")
         .withColumn("blocks", F.greatest(F.ceil(F.col("docs") / block_docs), F.lit(1)).cast("long"))
         .withColumn("exponent", F.lit(a))
+        .withColumn("entropy", F.lit(reached))
     )
     sources = settle(sources, "mix-budgets")
     placed = lookup_join(rows, sources.select("s", "epochs", "rest", "blocks", "budget", "below"), ["s"], "inner").where((F.col("rest") > 0) & (F.col("t") < F.col("below")))

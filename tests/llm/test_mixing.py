@@ -83,6 +83,20 @@ def test_budgets_are_met_by_permuted_epochs(spark, block_docs, budget):
         assert blocks == sorted(blocks, key=blocks.index)
 
 
+def test_even_sources_are_not_sharpened(spark):
+    rows = corpus({"a": 30, "b": 33, "c": 36})
+    planned, out = drawn(spark, rows, mixing.Target(entropy=0.95, most_repeats=4.0))
+    t = tokens(rows)
+    assert planned["a"].exponent == 1.0 and Counter(r.doc_id for r in out) == Counter(r[0] for r in rows)
+    assert planned["a"].entropy == pytest.approx(entropy(literal_weights(t, 1.0)) / math.log(3), abs=1e-9) and planned["a"].entropy > 0.95
+
+
+def test_entropy_reached_is_told_where_the_repeats_hold_it_down(spark):
+    rows = corpus({"a": 200, "b": 3})
+    planned, _ = drawn(spark, rows, mixing.Target(entropy=0.95, most_repeats=2.0))
+    assert planned["a"].entropy == pytest.approx(entropy({s: p.weight for s, p in planned.items()}) / math.log(2), abs=1e-9) and planned["a"].entropy < 0.5
+
+
 def numbered(lengths):
     """Documents of (source, words)."""
     return [(i, " ".join(f"w{i}" for _ in range(n)), None, s, 0) for i, (s, n) in enumerate(lengths)]
