@@ -144,18 +144,22 @@ def code_lengths(model: Model, data: np.ndarray, starts: np.ndarray) -> np.ndarr
 def training_sample(
     docs: DataFrame, text: str = "text", language: str = "lang", per_language: int = TEXTS_PER_LANGUAGE, longest: int = LONGEST_TRAINING_TEXT
 ) -> list[tuple[str, str]]:
-    """A bounded sample of labelled texts, drawn by a hash of the text: at most ``per_language`` of each language."""
+    """A bounded sample of different labelled texts, drawn by a hash of the text: at most ``per_language`` of each language.
+
+    Copies of a text count once, so that they take no places from others.
+    """
     labelled = docs.where(F.col(language).isNotNull() & F.col(text).isNotNull() & (F.octet_length(text) <= longest)).select(
-        F.col(language).alias("l"), F.col(text).alias("t")
+        F.col(language).alias("l"), F.col(text).alias("t"), F.xxhash64(text).alias("h")
     )
-    counts = {row["l"]: row["n"] for row in labelled.groupBy("l").agg(F.count("*").alias("n")).collect()}
+    different = labelled.select("l", "h").distinct()
+    counts = {row["l"]: row["n"] for row in different.groupBy("l").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return []
     # Draw about four times the wanted number before ranking, so that no language gathers all its rows in one task.
     share = F.lit(0.0)
     for name, n in counts.items():
         share = F.when(F.col("l") == name, min(1.0, 4 * per_language / n)).otherwise(share)
-    drawn = labelled.withColumn("h", F.xxhash64("t")).where(F.pmod("h", F.lit(1 << 20)) < share * (1 << 20))
+    drawn = labelled.where(F.pmod("h", F.lit(1 << 20)) < share * (1 << 20)).groupBy("l", "h").agg(F.min("t").alias("t"))
     ranked = drawn.withColumn("k", F.row_number().over(Window.partitionBy("l").orderBy("h", "t")))
     return [(row["l"], row["t"]) for row in ranked.where(F.col("k") <= per_language).select("l", "t").collect()]
 

@@ -109,6 +109,12 @@ def test_training_sample_is_bounded(spark):
     assert language_id.training_sample(docs, longest=0) == []
 
 
+def test_copies_take_one_place_of_the_training_sample(spark):
+    rows = [(i, "the same text", "p", "s", 0) for i in range(60)] + [(100 + i, f"another text {i}", "p", "s", 0) for i in range(8)]
+    drawn = language_id.training_sample(frame(spark, rows), per_language=9)
+    assert sorted(t for _, t in drawn) == sorted({r[1] for r in rows})
+
+
 def test_awkward_documents(spark):
     rows = awkward()
     docs = frame(spark, rows).withColumnRenamed("source", "score")
