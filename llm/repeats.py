@@ -1,4 +1,4 @@
-"""Repeated passages by prefix-free parsing.
+"""Repeated passages by windows matched at minimizers, after the parse of prefix-free parsing.
 
 Every byte covered by a ``width``-byte string that also starts earlier in the corpus is removed. Earlier means a smaller document
 id, or an earlier place in the same document.
@@ -10,8 +10,9 @@ depends on its bytes alone, so equal strings sit at the same place around equal
 Parse. Phrases are sorted by trigger, content and corpus order. Every occurrence of a phrase but the first is a repeat as a whole;
 the first ones make up the dictionary, which is small for repetitive text.
 
-Dictionary. Only triggers with two or more different phrases can still hold repeats, at the rims of repeated passages. The suffixes of their
-phrases are sorted; those that agree in ``width`` bytes stand side by side in corpus order, and all but the first are repeats.
+Dictionary. Only triggers with two or more different phrases can still hold repeats, at the rims of repeated passages. The ``width``-byte windows of
+their phrases are sorted, trigger by trigger; equal ones stand side by side in corpus order, and all but the first are repeats. No suffix
+array of the dictionary or of the parse is built.
 
 Phrases around one trigger are told apart by 64-bit hashes, their strings byte by byte. Triggers with more than
 ``MOST_PHRASES`` phrases are not gathered; their strings meet by 128-bit hashes, with the least place taken before the shuffle.
