@@ -51,4 +51,60 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = largest THEN
        CASE WHEN page_id <> largest THEN largest END AS refers_to
 FROM best"""
 
-ORACLE: dict[str, str] = {"op4_warc": _WARC, "op5_quality_rules": _QUALITY}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_DIVERGENCE = rf"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all({_LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+grp AS (SELECT DISTINCT lang, source FROM doc),
+per_doc AS (SELECT r, lang, source, term, count(*) AS n FROM (SELECT r, lang, source, unnest(w) AS term FROM doc) GROUP BY ALL),
+counted AS (SELECT lang, source, term, sum(n)::BIGINT AS n, count(*) AS docs FROM per_doc GROUP BY ALL),
+kept AS (SELECT lang, term, sum(n)::BIGINT AS n FROM counted GROUP BY ALL HAVING sum(docs) >= 3),
+of_lang AS (SELECT lang, sum(n)::BIGINT AS total, count(*) AS v FROM kept GROUP BY lang),
+dense AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.n AS in_lang
+  FROM grp g JOIN kept k USING (lang) LEFT JOIN counted c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+of_group AS (SELECT lang, source, sum(n)::BIGINT AS total FROM dense GROUP BY ALL),
+shares AS (
+  SELECT d.lang, d.source, d.term, d.n, 1 + 1000000000 * (d.n + 1) // (g.total + l.v) AS p, 1 + 1000000000 * (d.in_lang + 1) // (l.total + l.v) AS q
+  FROM dense d JOIN of_group g ON g.lang = d.lang AND g.source = d.source JOIN of_lang l ON l.lang = d.lang),
+far AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pair AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN far f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source),
+own AS (
+  SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // q)::BIGINT AS value FROM shares WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM (SELECT * FROM pair UNION ALL SELECT * FROM own))
+SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 200"""
+
+_CONTAMINATION = rf"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+item AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+part AS (
+  SELECT DISTINCT item, least(len(w), 10) AS size, array_to_string(w[i:i + 9], ' ') AS words
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM item WHERE len(w) > 0)),
+place AS (
+  SELECT r, i, size, array_to_string(w[i:i + size - 1], ' ') AS words
+  FROM (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM doc, (SELECT DISTINCT size FROM part))),
+met AS (SELECT r, i, size, item FROM place JOIN part USING (size, words)),
+hit AS (SELECT r, count(DISTINCT place) AS n FROM (SELECT r, unnest(range(i, i + size)) AS place FROM met) GROUP BY r),
+items AS (SELECT r, count(DISTINCT item) AS n, string_agg(DISTINCT item, ',' ORDER BY item) AS ids FROM met GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit, coalesce(items.n, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, hit.n IS NOT NULL AS contaminated
+FROM doc LEFT JOIN hit USING (r) LEFT JOIN items USING (r)"""
+
+ORACLE: dict[str, str] = {
+    "op4_warc": _WARC,
+    "op5_quality_rules": _QUALITY,
+    "op11_source_divergence": _DIVERGENCE,
+    "op13_decontamination": _CONTAMINATION,
+}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulscore.runtime import lookup_join
-from llm import fingerprints, language_id, licences, mixing, packing, quality_model, quality_rules, repeats, simhash, warc
+from llm import contamination, divergence, fingerprints, language_id, licences, mixing, packing, quality_model, quality_rules, repeats, simhash, variants, warc
 from llm.common import crc32_of_id, table
 
 
@@ -82,6 +82,20 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.resolved(warc.read(archives)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(table(spark, sf_dir, "documents"), change=variants.without_a_letter)
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.concat_ws(",", "item_ids").cast("binary"), 256)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
+
+
 QUERIES = {
     "op6_source_mixing": op6_source_mixing,
     "op7_best_fit_packing": op7_best_fit_packing,
@@ -93,4 +107,7 @@ QUERIES = {
     "op9_licence_scan": op9_licence_scan,
     "op5_quality_rules": op5_quality_rules,
     "op10_document_fingerprints": op10_document_fingerprints,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_decontamination": op13_decontamination,
 }
