@@ -107,8 +107,9 @@ def exact_matches(index: Index, phrases: DataFrame) -> DataFrame:
     others = lists.where("length > 2").select("phrase", F.explode(F.slice("lists", F.lit(3), F.size("lists"))).alias("l")).select("phrase", F.col("l.offset").alias("offset"), F.col("l.term").alias("term"))
     others = settle(others, "other-lists")
     wanted = lookup_join(two, others, ["phrase"], "inner").select(*kept, F.col("term"), (F.col("start") + F.col("offset")).alias("pos"))
-    rows = _needed(index.postings, settle(wanted.select("term").distinct(), "other-terms")).join(two.select("row").distinct(), "row", "left_semi")
-    hits = wanted.join(rows, ["row", "pos", "term"]).groupBy(*kept).agg(F.count("*").alias("lists"))
+    rows = settle(two.select("row").distinct(), "candidate-rows")
+    there = lookup_join(_needed(index.postings, settle(wanted.select("term").distinct(), "other-terms")), rows, ["row"], "inner")
+    hits = wanted.join(there, ["row", "pos", "term"]).groupBy(*kept).agg(F.count("*").alias("lists"))
     whole = hits.where(F.col("lists") == F.col("length") - 2).select(*kept)
     return whole.union(two.where("length <= 2"))
 
