@@ -18,10 +18,9 @@ from haulscore.sources import read_table, segments_from_vertices, segments_from_
 REFERENCE_YEARS = (1996, 1999)
 SINCE = "1995-01-01"
 SENTINEL = "Species 0"
-CELL_SIZE = 0.25
 MAP_YEAR = 1999
 SETTINGS = IndexSettings(
-    since=SINCE, cell_size=CELL_SIZE, sentinel=SENTINEL, reference_years=REFERENCE_YEARS
+    since=SINCE, sentinel=SENTINEL, reference_years=REFERENCE_YEARS
 )
 
 # Segment polygons over the sites' coordinates (segment, vertex, x, y).

@@ -65,7 +65,7 @@ def _catch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _placed(spark: SparkSession, catch: DataFrame) -> DataFrame:
-    return assign_segments(distinct_sites(catch), fx.segments(spark), fx.CELL_SIZE)
+    return assign_segments(distinct_sites(catch), fx.segments(spark))
 
 
 def _assigned(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,13 +122,13 @@ def query_attach_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sites of all hauls, also of those without a record in the catch table."""
     catch = settle(_catch(spark, sf_dir), "catch")
     sites = fx.physical(spark, sf_dir).select("Reference", "Longitude", "Latitude", "Zone", "Grid")
-    kept = override_segments(assign_segments(sites, fx.segments(spark), fx.CELL_SIZE))
+    kept = override_segments(assign_segments(sites, fx.segments(spark)))
     return _dated(attach_segments(catch, settle(kept, "sites")))
 
 
 def query_assign_segments_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segments from a layer given as polygon text."""
-    return assign_segments(distinct_sites(_catch(spark, sf_dir)), fx.segments_as_text(spark), fx.CELL_SIZE)
+    return assign_segments(distinct_sites(_catch(spark, sf_dir)), fx.segments_as_text(spark))
 
 
 def query_prepare_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,22 +10,21 @@ from .expressions import (
     segment_name,
     zero_if,
 )
-from .geometry import CELL_SIZE, grid_edges, inside
+from .geometry import Cells, segment_cells
 from .quantiles import exact_quantiles
 
 __all__ = [
-    "CELL_SIZE",
+    "Cells",
     "bay_code",
     "exact_quantiles",
     "expanded_count",
-    "grid_edges",
-    "inside",
     "normalize_code",
     "null_keeping_avg",
     "null_keeping_sum",
     "ratio",
     "round_half_even",
     "season",
+    "segment_cells",
     "segment_name",
     "zero_if",
 ]

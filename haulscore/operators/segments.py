@@ -9,26 +9,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import CONDITIONAL_BELOW, CONDITIONAL_GRID, CONDITIONAL_SEGMENT, GRID_SEGMENTS, OUTER_SEGMENTS
-from ..functions.geometry import CELL_SIZE, cell_of, grid_edges, inside
-from ..runtime import lookup_join, settle
+from ..functions.geometry import MOST_EDGES, OUTSIDE, Cells, candidates_at, cell_of, levels_of, segment_cells
+from ..runtime import lookup_join
 
 SITE_KEYS = ("Reference", "Zone", "Grid")
 
 
-def assign_segments(sites: DataFrame, segments: DataFrame, cell_size: float = CELL_SIZE) -> DataFrame:
+def assign_segments(sites: DataFrame, segments: DataFrame | Cells, most_edges: int = MOST_EDGES) -> DataFrame:
     """Add the segment each site lies in; NULL outside all of them, one row per segment where they overlap.
 
-    ``cell_size`` is in the units of the coordinates; a layer should span some hundreds of cells.
+    ``segments`` is the polygon layer, or its cells where one layer serves several calls. A cell of the layer with more than
+    ``most_edges`` edges is split; the result does not depend on it.
     """
-    # Written once: the look-up is measured and then joined.
-    cells = settle(grid_edges(segments, cell_size), "segment-cells")
+    cells = segments if isinstance(segments, Cells) else segment_cells(segments, most_edges)
     x, y = F.col("Longitude"), F.col("Latitude")
-    placed = sites.withColumns({"cell_x": cell_of(x, cell_size), "cell_y": cell_of(y, cell_size)})
-    found = F.filter("candidates", lambda c: inside(x, y, c["edges"]))
-    names = F.transform(found, lambda c: c["bay_segment"])
-    return lookup_join(placed, cells, ["cell_x", "cell_y"], "left").select(
-        *sites.columns, F.explode_outer(names).alias("bay_segment")
-    )
+    # A site asks for a cell at each level of the tree and finds one of them.
+    asked = sites.withColumn("_at", F.explode(levels_of(x, y, cells))).withColumns({"level": F.col("_at.level"), "_side": F.col("_at.side")})
+    column, row = (F.when(F.col("level") == OUTSIDE, 0).otherwise(cell_of(v, F.col("_side"))) for v in (x, y))
+    placed = asked.select(*sites.columns, "level", "_side", column.alias("cell_x"), row.alias("cell_y"))
+    names = candidates_at("Longitude", "Latitude", "((cell_x + 1) * _side)", "(cell_y * _side)")
+    return lookup_join(placed, cells.leaves, ["level", "cell_x", "cell_y"], "inner").select(*sites.columns, F.explode_outer(names).alias("bay_segment"))
 
 
 def override_segments(

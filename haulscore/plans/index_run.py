@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions.expressions import season
-from ..functions.geometry import CELL_SIZE
+from ..functions.geometry import MOST_EDGES
 from ..operators.bands import band_percentiles, with_bands
 from ..operators.catch import kept_records, select_samples, with_repaired_codes
 from ..operators.counts import combine_counts, with_classes
@@ -44,7 +44,7 @@ class IndexSettings:
     project: str = C.PROJECT
     gears: Sequence[str] = C.GEARS
     since: str = C.FIRST_DATE
-    cell_size: float = CELL_SIZE
+    cell_edges: int = MOST_EDGES
     grid_segments: Mapping[int, str] = field(default_factory=lambda: dict(C.GRID_SEGMENTS))
     rule_axis: str = "x"
     rule_below: float = C.CONDITIONAL_BELOW
@@ -73,7 +73,7 @@ def survey_hauls(tables: SurveyTables, settings: IndexSettings) -> DataFrame:
     samples = select_samples(
         tables.physical, settings.prefix, settings.project, settings.gears, settings.since
     )
-    placed = assign_segments(samples, tables.segments, settings.cell_size)
+    placed = assign_segments(samples, tables.segments, settings.cell_edges)
     kept = override_segments(
         placed, settings.grid_segments, axis=settings.rule_axis, below=settings.rule_below
     )

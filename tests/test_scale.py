@@ -54,7 +54,7 @@ def survey(spark) -> SurveyTables:
     )
 
 
-SETTINGS = IndexSettings(cell_size=0.5, sentinel="Alpha")
+SETTINGS = IndexSettings(cell_edges=4, sentinel="Alpha")
 
 
 @pytest.fixture
@@ -120,7 +120,7 @@ def test_single_metrics_prune_the_rest(spark, stored):
 def test_stepwise_and_whole_chain_agree(spark, stored):
     samples = select_samples(stored.physical)
     catch = build_catch(samples, stored.numbers, stored.species_list)
-    sites = override_segments(assign_segments(distinct_sites(catch), stored.segments, 0.5))
+    sites = override_segments(assign_segments(distinct_sites(catch), stored.segments, 4))
     stepwise = sample_metrics(prepare_counts(attach_segments(catch, sites), stored.species), "Alpha")
     whole = haul_metrics(stored, SETTINGS)
     assert stepwise.columns == whole.columns
@@ -196,7 +196,7 @@ def test_scores_join_conditions_without_moving_hauls(spark, stored, conf):
 
 def test_spatial_lookup_moves_no_site(spark, stored, conf):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
-    plan = plan_of(assign_segments(stored.physical, stored.segments, 0.5))
+    plan = plan_of(assign_segments(stored.physical, stored.segments, 4))
     # The cells are a written table, measured and broadcast.
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan and "NestedLoop" not in plan
 
