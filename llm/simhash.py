@@ -4,10 +4,12 @@ A document's fingerprint has a bit for each bit place that more than half of its
 fingerprints differ in at most ``DISTANCE`` bits. A fingerprint is split into six blocks: two that differ in three bits agree on three of the blocks,
 so pairs meet by one of the twenty choices of three blocks and are then verified bit by bit.
 
-Equal fingerprints are one node from the start, however many documents share them. Inside a group that agrees on its blocks only the
-links of a spanning forest are returned, never all pairs. A group larger than ``MOST_IN_GROUP`` fingerprints is split
+Equal fingerprints are one node from the start, however many documents share them. A group larger than ``MOST_IN_GROUP`` fingerprints is split
 on: its free bits are cut into four parts, one of which a linked pair must share, and so on until every group is small; a group
-that agrees on all but ten bits cannot be larger.
+that agrees on all but ten bits cannot be larger. The finer masks are a table made from the masks that have large groups.
+
+A pair meets under several masks but belongs to one: the first it shares, then the first of that one's finer masks, and so on. A group
+returns the links of a spanning forest of the pairs that belong to its mask, never all pairs.
 
 Null and empty texts have fingerprint zero and link like any other. Rows that repeat an id and a text are one document; rows that
 repeat only the id are told apart by their text. A null id never names a component unless all ids in it are null. An empty table gives an empty table.
@@ -15,6 +17,7 @@ repeat only the id are told apart by their text. A null id never names a compone
 
 from __future__ import annotations
 
+from functools import lru_cache
 from itertools import combinations, repeat
 
 import numpy as np
@@ -24,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
+from haulscore.runtime import lookup_join
 from llm.common import components, settle, text_bytes, with_arrow
 
 SHINGLE_WORDS = 3
@@ -83,14 +87,38 @@ def finer_masks(mask: int, distance: int = DISTANCE) -> list[int]:
     return [mask | sum(1 << int(i) for i in part) for part in parts if len(part)]
 
 
-def spanning_links(group: np.ndarray, distance: int = DISTANCE) -> list[tuple[int, int]]:
-    """Links of a spanning forest of the fingerprints at most ``distance`` bits apart."""
+@lru_cache(maxsize=4096)
+def _mask_table(mask: int | None, distance: int) -> np.ndarray:
+    return np.array(first_masks(distance=distance) if mask is None else finer_masks(mask, distance), np.uint64)
+
+
+def own_masks(differences: np.ndarray, level: int, distance: int = DISTANCE) -> np.ndarray:
+    """The mask at a level that pairs of these differing bits belong to."""
+
+    def first_shared(among: np.ndarray, bits: np.ndarray) -> np.ndarray:
+        return among[np.argmax((bits[:, None] & among[None, :]) == 0, axis=1)]
+
+    found = first_shared(_mask_table(None, distance), differences)
+    for _ in range(level):
+        for mask in np.unique(found):
+            here = found == mask
+            finer = _mask_table(int(mask), distance)
+            if len(finer) > distance:
+                found[here] = first_shared(finer, differences[here])
+    return found
+
+
+def spanning_links(group: np.ndarray, distance: int = DISTANCE, mask: int | None = None, level: int = 0) -> list[tuple[int, int]]:
+    """Links of a spanning forest of the fingerprints at most ``distance`` bits apart; with a mask, of the pairs that belong to it."""
     links, rest = [], group.view(np.uint64)
     while len(rest) > 1:
         frontier, rest = [rest[0]], rest[1:]
         while frontier and len(rest):
             here = frontier.pop()
-            near = np.bitwise_count(rest ^ here) <= distance
+            differ = rest ^ here
+            near = np.bitwise_count(differ) <= distance
+            if mask is not None and near.any():
+                near[near] = own_masks(differ[near], level, distance) == np.uint64(mask)
             if near.any():
                 found = rest[near]
                 links += [(int(here), int(other)) for other in found]
@@ -99,35 +127,49 @@ def spanning_links(group: np.ndarray, distance: int = DISTANCE) -> list[tuple[in
     return links
 
 
+def _finer(batches, distance: int):
+    for batch in batches:
+        pairs = [(old, _signed(new)) for old in batch.column("old").to_pylist() for new in finer_masks(old % (1 << 64), distance)]
+        columns = list(zip(*pairs, strict=True)) or [[], []]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["old", "mask"])
+
+
 def links(fingerprints: DataFrame, column: str = "fingerprint", distance: int = DISTANCE, most: int = MOST_IN_GROUP) -> DataFrame:
     """(a, b) links between different fingerprints that connect exactly what lies within ``distance`` bits, step by step."""
-    level = fingerprints.select(F.col(column).alias("f")).distinct()
-    masks = {0: first_masks(distance=distance)}
-    level = level.withColumn("old", F.lit(0).cast("long"))
-    out = None
-
-    def run(batches):
-        for batch in batches:
-            found = [link for group in batch.column("group") for link in spanning_links(group.values.to_numpy(), distance)]
-            ends = np.array(found, np.uint64).reshape(-1, 2).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["a", "b"])
+    coarse = F.explode(F.array(*[F.lit(_signed(mask)) for mask in first_masks(distance=distance)])).alias("mask")
+    rows = fingerprints.select(F.col(column).alias("f")).distinct().select("f", coarse)
+    out, level = None, 0
+
+    def run_at(level: int):
+        def run(batches):
+            for batch in batches:
+                found = [
+                    link
+                    for mask, group in zip(batch.column("mask").to_pylist(), batch.column("group"), strict=True)
+                    for link in spanning_links(group.values.to_numpy(), distance, mask % (1 << 64), level)
+                ]
+                ends = np.array(found, np.uint64).reshape(-1, 2).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["a", "b"])
+
+        return run
 
     while True:
-        finer = F.element_at(
-            F.create_map(*(x for old, news in masks.items() for x in (F.lit(_signed(old)), F.array(*(F.lit(_signed(new)) for new in news))))), F.col("old")
-        )
-        rows = level.select("f", F.explode(finer).alias("mask")).withColumn("key", F.col("f").bitwiseAND(F.col("mask")))
-        sizes = settle(rows.groupBy("mask", "key").agg(F.count("*").alias("n")).where("n > 1"), "simhash-groups")
-        small = rows.join(sizes.where(F.col("n") <= most), ["mask", "key"])
-        groups = small.groupBy("mask", "key").agg(F.collect_list("f").alias("group")).select("group")
-        found = settle(groups.mapInArrow(run, EDGES), "simhash-edges")
+        keyed = rows.withColumn("key", F.col("f").bitwiseAND(F.col("mask")))
+        sizes = settle(keyed.groupBy("mask", "key").agg(F.count("*").alias("n")).where("n > 1"), "simhash-groups")
+        # So few free bits make a group small by themselves, and have no four parts.
+        is_large = (F.col("n") > most) & (F.bit_count("mask") <= 64 - (distance + 1))
+        small = keyed.join(sizes.where(~is_large), ["mask", "key"])
+        groups = small.groupBy("mask", "key").agg(F.collect_list("f").alias("group")).select("mask", "group")
+        found = settle(groups.mapInArrow(run_at(level), EDGES), "simhash-edges")
         out = found if out is None else out.union(found)
-        large = sizes.where(F.col("n") > most)
+        large = sizes.where(is_large)
         if large.isEmpty():
             return out
-        # Two masks may meet in a finer one; the same fingerprint needs it once.
-        level = settle(rows.join(large.select("mask", "key"), ["mask", "key"]).select("f", F.col("mask").alias("old")), "simhash-large")
-        masks = {new: finer_masks(new, distance) for news in masks.values() for new in news}
+        finer = large.select(F.col("mask").alias("old")).distinct().mapInArrow(lambda batches: _finer(batches, distance), "old long, mask long")
+        held = keyed.join(large.select("mask", "key"), ["mask", "key"]).select("f", F.col("mask").alias("old"))
+        # Two masks may meet in a finer one; a fingerprint needs it once.
+        rows = settle(lookup_join(held, settle(finer, "simhash-masks"), ["old"], "inner").select("f", "mask").distinct(), "simhash-finer")
+        level += 1
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle_words: int = SHINGLE_WORDS, distance: int = DISTANCE) -> DataFrame:

@@ -90,6 +90,29 @@ def test_links_connect_what_brute_force_connects(spark, most):
     assert sorted(groups.values()) == sorted(got.values())
 
 
+def test_links_of_a_dense_group_are_linear_and_masks_come_from_the_data(spark):
+    """All fingerprints that differ in nine free bits, split far below their number."""
+    base = 0x9E3779B97F4A7C15
+    places = [0, 7, 13, 22, 31, 40, 44, 52, 63]
+    prints = [base ^ sum(1 << p for i, p in enumerate(places) if k >> i & 1) for k in range(512)]
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    edges = simhash.links(spark.createDataFrame([(p,) for p in signed], "fingerprint long"), most=64)
+    assert edges.count() <= 40 * len(prints)
+    found = components(edges, "t").collect()
+    assert len(found) == 512 and {r.component for r in found} == {min(signed)}
+
+
+def test_a_pair_belongs_to_one_mask_that_it_shares():
+    rng = random.Random(2)
+    for level in range(4):
+        bits = np.array([sum(1 << i for i in rng.sample(range(64), rng.randint(1, 3))) for _ in range(300)], np.uint64)
+        masks = simhash.own_masks(bits, level)
+        assert not (bits & masks).any()
+        if level:
+            before = simhash.own_masks(bits, level - 1)
+            assert all(int(m) in simhash.finer_masks(int(b)) for m, b in zip(masks, before, strict=True))
+
+
 def test_components_of_chain_star_and_pairs(spark):
     links = [(i + 1, i) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)] + [(-5, 7000), (7000, -5), (3, 3)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long"), "t").collect()}
