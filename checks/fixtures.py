@@ -215,5 +215,23 @@ def field_descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def hostile_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The given documents, whose texts hold quotes, commas and line breaks, with more rows of texts that a CSV reader may take for missing ones."""
+    docs = read_table(spark, f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source")
+    key = F.col("doc_id")
+    odd = F.when(key % 8 == 0, "NA").when(key % 8 == 1, "").when(key % 8 == 2, " ").when(key % 8 == 3, '"').when(key % 8 == 4, 'a,"b",\r\n,"').when(key % 8 == 5, "\\").when(key % 8 == 6, "\n")
+    return docs.unionByName(docs.select((-key - 1).alias("doc_id"), odd.alias("text"), "lang", F.when(key % 3 == 0, F.lit(None)).otherwise(F.col("source")).alias("source")))
+
+
+def spelled_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hauls with their dates as text, spelled in six ways, and some that are no date."""
+    date, key = F.col("Sampling_Date"), F.substring("Reference", 4, 10).cast("long")
+    ways = ["yyyy-MM-dd", "yyyyMMdd", "yyyy/M/d", "yy.MM.dd", "yyyy MMM dd", "yyyy-MMMM-d"]
+    text = F.when(key % 29 == 0, F.lit("2001-02-30")).when(key % 31 == 0, F.lit("unknown"))
+    for i, way in enumerate(ways):
+        text = text.when(key % 6 == i, F.date_format(date, way))
+    return physical(spark, sf_dir).select("Reference", text.alias("Sampling_Date"))
+
+
 def replace_numbers(tables: SurveyTables, records: DataFrame) -> SurveyTables:
     return dataclasses.replace(tables, numbers=records)

@@ -443,4 +443,27 @@ ORACLE: dict[str, str] = {
                (SELECT 'scores_' || min(Year) || '-' || max(Year) FROM score) AS file
         FROM score""",
     ),
+    "csv_texts": """
+        SELECT doc_id, text, lang, source FROM documents
+        UNION ALL SELECT -doc_id - 1, CASE doc_id % 8 WHEN 0 THEN 'NA' WHEN 1 THEN '' WHEN 2 THEN ' ' WHEN 3 THEN '"'
+                   WHEN 4 THEN 'a,"b",' || chr(13) || chr(10) || ',"' WHEN 5 THEN chr(92) WHEN 6 THEN chr(10) END,
+               lang, CASE WHEN doc_id % 3 <> 0 THEN source END
+        FROM documents""",
+    "site_table": _after("kept", "SELECT * FROM kept"),
+    "date_spellings": _after(
+        "physical",
+        """
+        SELECT Reference, d::VARCHAR AS Sampling_Date, year(d)::INTEGER AS Year, month(d)::INTEGER AS Month
+        FROM (SELECT Reference, CASE WHEN substr(Reference, 4)::BIGINT % 29 <> 0 AND substr(Reference, 4)::BIGINT % 31 <> 0
+                                     THEN Sampling_Date::DATE END AS d FROM physical)""",
+    ),
+    "compare_by_digests": _compare(),
+    "refreshed_conditions": _after(
+        "refcond",
+        "SELECT * REPLACE (round(Shannon_P5, 6) AS Shannon_P5, round(Shannon_P95, 6) AS Shannon_P95) FROM refcond",
+    ),
+    "refreshed_years": _after("yearly", f"SELECT Year, Yr_Index, {_round('SEM', 'lower_sem', 'upper_sem')} FROM yearly"),
+    "refreshed_segments": _after("seg_yearly", "SELECT * FROM seg_yearly"),
+    "colocated_catch": _after("catch", f"SELECT {_DATED} FROM catch"),
+    "colocated_segments": _after("all_sites", f"SELECT {_DATED} FROM all_sites"),
 }

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haulscore.functions import expanded_count
+from haulscore.functions import calendar_date, expanded_count
 from haulscore.operators import (
     assign_segments,
     attach_segments,
@@ -34,10 +34,20 @@ from haulscore.operators import (
     year_map_segments,
     yearly_scores,
 )
+from haulscore.operators.compare import compare_by_digests
 from haulscore.operators.metrics import assemble, pick
+from haulscore.operators.states import (
+    append_states,
+    conditions_from_states,
+    moment_states,
+    segments_from_states,
+    stored_states,
+    value_states,
+    yearly_from_states,
+)
 from haulscore.plans import SurveyTables, haul_metrics, run_index, score_hauls, survey_counts, survey_hauls
 from haulscore.runtime import settle, shared_folder
-from haulscore.sources import read_csv, write_csv, write_scores
+from haulscore.sources import Colocated, open_colocated, read_csv, read_table, write_colocated, write_csv, write_scores, write_table
 
 from . import fixtures as fx
 
@@ -126,6 +136,31 @@ def query_attach_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _dated(attach_segments(catch, settle(kept, "sites")))
 
 
+def _scratch(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/haulscore/{name}-{uuid.uuid4().hex}"
+
+
+def _colocated(spark: SparkSession, hauls: DataFrame, records: DataFrame) -> Colocated:
+    folder, buckets = _scratch(spark, "colocated"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    write_colocated(hauls, records, folder, buckets)
+    return open_colocated(spark, folder, buckets)
+
+
+def query_colocated_catch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catch table from hauls and records stored by haul."""
+    tables = fx.survey(spark, sf_dir)
+    stored = _colocated(spark, tables.physical, tables.numbers)
+    return _dated(stored.apply(lambda hauls, records: build_catch(select_samples(hauls, since=fx.SINCE), records, tables.species_list)))
+
+
+def query_colocated_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments attached to records that are stored by haul beside the sites."""
+    sites = fx.physical(spark, sf_dir).select("Reference", "Longitude", "Latitude", "Zone", "Grid")
+    kept = override_segments(assign_segments(sites, fx.segments(spark)))
+    stored = _colocated(spark, kept, _catch(spark, sf_dir))
+    return _dated(stored.apply(lambda sites, catch: attach_segments(catch, sites, null_references=False)))
+
+
 def query_assign_segments_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segments from a layer given as polygon text."""
     return assign_segments(distinct_sites(_catch(spark, sf_dir)), fx.segments_as_text(spark))
@@ -225,7 +260,7 @@ def query_within_extent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return within_extent(tables.physical.select("Reference", "Longitude", "Latitude"), box)
 
 
-def query_compare_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _compared(spark: SparkSession, sf_dir: str, compare: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
     """What the metrics would be with subsamples left unexpanded, against the right ones."""
     tables = fx.survey(spark, sf_dir)
     raw = tables.numbers.withColumns({"Splittype": F.lit(None).cast("string"), "Splitlevel": F.lit(None).cast("string")})
@@ -240,13 +275,22 @@ def query_compare_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         return frame.unionByName(largest.withColumn("Reference", F.lit(None).cast("string")))
 
     left, right = with_total(left.filter("NumTaxa <> 1")), with_total(right.filter("NumTaxa <> 3"))
-    differences = compare_tables(_rounded(left, "Shannon"), _rounded(right, "Shannon"))
+    differences = compare(_rounded(left, "Shannon"), _rounded(right, "Shannon"))
     return _rounded(
         differences.withColumns({v: F.round(F.col(v).cast("double"), DIGITS) for v in ("value_a", "value_b")}),
         "difference",
     )
 
 
+def query_compare_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _compared(spark, sf_dir, compare_tables)
+
+
+def query_compare_by_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, moving only the rows of key buckets whose checksums differ."""
+    return _compared(spark, sf_dir, lambda a, b: compare_by_digests(settle(a, "compared"), settle(b, "compared")))
+
+
 def query_expanded_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records and individuals per kind of subsample, before and after expansion."""
     records = fx.numbers(spark, sf_dir)
@@ -302,6 +346,48 @@ def query_csv_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, scores.schema).withColumn("file", F.lit(path.rpartition("/")[2]))
 
 
+def query_csv_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with quotes, commas, line breaks, blanks and ``NA`` written as CSV and read again, whole."""
+    texts, path = fx.hostile_texts(spark, sf_dir), _scratch(spark, "csv")
+    write_csv(texts, path, whole_text=True)
+    return read_csv(spark, path, texts.schema, whole_text=True)
+
+
+def query_site_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sites with their segments as a stored table, read again."""
+    path = _scratch(spark, "sites")
+    write_table(override_segments(_assigned(spark, sf_dir)), path, ["bay_segment"])
+    return read_table(spark, path).select("Reference", "Longitude", "Latitude", "Zone", "Grid", "bay_segment")
+
+
+def query_date_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    date = calendar_date(F.col("Sampling_Date"))
+    return fx.spelled_dates(spark, sf_dir).select("Reference", date.cast("string").alias("Sampling_Date"), F.year(date).alias("Year"), F.month(date).alias("Month"))
+
+
+def _refreshed(spark: SparkSession, frame: DataFrame, states: Callable[[DataFrame], DataFrame], kind: str) -> DataFrame:
+    """States stored for all years but the last, then those of the last year's rows merged in."""
+    folder = _scratch(spark, "states")
+    last = frame.agg(F.max("Year")).first()[0]
+    append_states(states(frame.where(F.col("Year") < last)), folder, kind)
+    append_states(states(frame.where(F.col("Year") == last)), folder, kind)
+    return stored_states(spark, folder, kind)
+
+
+def query_refreshed_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    values = _refreshed(spark, _metrics(spark, sf_dir), value_states, "values")
+    return _rounded(conditions_from_states(values, fx.REFERENCE_YEARS), "Shannon_P5", "Shannon_P95")
+
+
+def query_refreshed_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moments = _refreshed(spark, settle(_scores(spark, sf_dir), "scores"), moment_states, "moments")
+    return _rounded(yearly_from_states(moments), "SEM", "lower_sem", "upper_sem")
+
+
+def query_refreshed_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segments_from_states(_refreshed(spark, settle(_scores(spark, sf_dir), "scores"), moment_states, "moments"))
+
+
 def query_field_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     wanted = ("Brand#2", "Brand#11", "Brand#12", "Brand#23")
     metadata = field_metadata(fx.field_descriptions(spark, sf_dir), wanted)
@@ -358,4 +444,13 @@ QUERIES: dict[str, Query] = {
     "assemble": query_assemble,
     "csv_species": query_csv_species,
     "csv_scores": query_csv_scores,
+    "csv_texts": query_csv_texts,
+    "site_table": query_site_table,
+    "date_spellings": query_date_spellings,
+    "compare_by_digests": query_compare_by_digests,
+    "refreshed_conditions": query_refreshed_conditions,
+    "refreshed_years": query_refreshed_years,
+    "refreshed_segments": query_refreshed_segments,
+    "colocated_catch": query_colocated_catch,
+    "colocated_segments": query_colocated_segments,
 }

@@ -1,5 +1,6 @@
 from .expressions import (
     bay_code,
+    calendar_date,
     expanded_count,
     normalize_code,
     null_keeping_avg,
@@ -16,6 +17,7 @@ from .quantiles import exact_quantiles
 __all__ = [
     "Cells",
     "bay_code",
+    "calendar_date",
     "exact_quantiles",
     "expanded_count",
     "normalize_code",

@@ -57,6 +57,30 @@ def expanded_count(number: Column, splittype: Column, splitlevel: Column) -> Col
     return F.when(factor.isNotNull(), count * F.pow(factor, as_number(splitlevel))).otherwise(count)
 
 
+# English month names.
+MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
+
+
+def calendar_date(text: Column) -> Column:
+    """Text that spells year, month and day in this order to a date; NULL where there is no such day.
+
+    The parts are digits with any other characters between them, or eight or six digits without any. A year of two digits lies in 1969 to
+    2068. The month may be an English name or its first three letters. A time of day may follow.
+    """
+    value = F.lower(F.trim(text))
+    apart = r"^(\d{4}|\d{2})[^0-9a-z]+(\d{1,2}|[a-z]{3,9})[^0-9a-z]+(\d{1,2})([t ].*)?$"
+    joined = r"^(\d{4}|\d{2})(\d{2})(\d{2})$"
+    year, month, day = (F.regexp_extract(value, apart, i) for i in (1, 2, 3))
+    whole = value.rlike(joined)
+    year, month, day = (F.when(whole, F.regexp_extract(value, joined, i)).otherwise(part) for i, part in ((1, year), (2, month), (3, day)))
+    number = month
+    for i, name in enumerate(MONTHS, 1):
+        number = F.when((month == name) | (month == name[:3]), F.lit(str(i))).otherwise(number)
+    century = F.when(F.length(year) == 4, "").when(year >= "69", "19").otherwise("20")
+    spelled = F.concat(century, year, F.lit("-"), F.lpad(number, 2, "0"), F.lit("-"), F.lpad(day, 2, "0"))
+    return F.when(value.rlike(apart) | whole, spelled.try_cast("date"))
+
+
 def season(month: Column) -> Column:
     first, *rest = SEASON_MONTHS.items()
     out = F.when(month.isin(*first[1]), F.lit(first[0]))

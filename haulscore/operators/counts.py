@@ -6,9 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..constants import NO_GEAR_SET
-from ..functions.expressions import bay_code, expanded_count, normalize_code, null_keeping_sum
+from ..functions.expressions import bay_code, calendar_date, expanded_count, normalize_code, null_keeping_sum
 from ..runtime import lookup_join
 
 CLASS_COLUMNS = (
@@ -58,11 +59,15 @@ def with_classes(counts: DataFrame, species: DataFrame) -> DataFrame:
 
 
 def prepare_counts(catch: DataFrame, species: DataFrame) -> DataFrame:
-    """Catch records to one row per haul and index species, with haul attributes and class codes."""
+    """Catch records to one row per haul and index species, with haul attributes and class codes.
+
+    A sampling date that is text may be spelled in any way that ``calendar_date`` knows.
+    """
+    is_text = isinstance(catch.schema["Sampling_Date"].dataType, StringType)
     attributes = [c for c in catch.columns if c not in ("Reference", "NODCCODE", *RECORD_COLUMNS)]
     counts = combine_counts(catch, attributes).withColumns(
         {
-            "Sampling_Date": F.to_date("Sampling_Date"),
+            "Sampling_Date": calendar_date(F.col("Sampling_Date")) if is_text else F.to_date("Sampling_Date"),
             "Bay": bay_code(F.col("Reference")),
             "Year": F.year("Sampling_Date"),
             "Month": F.month("Sampling_Date"),

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from ..constants import GUILD_FLAGS, NO_FISH, SENTINEL_SPECIES
 from ..functions.expressions import ratio, season, zero_if
+from ..functions.prefix import BLOCK_ROWS, running_sums
+from ..runtime import lookup_join, settle
 
 TAXA = [f"{name}Taxa" for name, _, _ in GUILD_FLAGS]
 ABUNDANCES = [f"{name}Abund" for name in ("TS", "TG", "Benthic", "Pelagic", "Obl", "ES", "MS")]
@@ -120,19 +122,34 @@ def sample_metrics(
     return derived.select(*keys, *[zero_if(empty, F.col(m)).alias(m) for m in METRICS if m in wanted])
 
 
-def _ranked(rows: DataFrame, stock: Column) -> DataFrame:
-    """Add a haul's total and the running stock and taxa, largest totals first.
+def _ranked(rows: DataFrame, stock: Column, block_rows: int | None = None) -> DataFrame:
+    """Add a haul's total and the running stock and taxa, largest totals first. Ties give the same results in any order.
 
-    All frames share one ordering, so one sort serves them. Ties give the same results in any order.
+    The rows are written once and counted for each haul. Hauls of few rows take a window each, all frames sharing one ordering, so one
+    sort serves them. A haul of more than ``block_rows`` different rows is spread over blocks of its totals, with sums carried from block to block.
     """
+    most = BLOCK_ROWS if block_rows is None else block_rows
+    written = settle(rows.withColumn("stock", stock), "haul-rows")
+    large = settle(written.groupBy("Reference").agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > most), "large-hauls")
+    if large.isEmpty():
+        return _in_windows(written)
+    marked = lookup_join(written, large, ["Reference"], "left", null_safe=True)
+    small = marked.where(F.col("_rows").isNull()).drop("_rows")
+    amounts = marked.where(F.col("_rows").isNotNull()).drop("_rows").withColumn("unknown", F.when(F.col("Total_N").isNull(), 1).otherwise(0))
+    summed = running_sums(settle(amounts, "large-haul-rows"), "Reference", "Total_N", ["stock", "taxa", "unknown"], most)
+    total = F.when(F.col("unknown_total") == 0, F.col("stock_total")).alias("total")
+    return _in_windows(small).unionByName(summed.select(*written.columns, total, "stock_through", "taxa_through"))
+
+
+def _in_windows(rows: DataFrame) -> DataFrame:
     largest_first = Window.partitionBy("Reference").orderBy(F.desc("Total_N"))
     so_far = largest_first.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = largest_first.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     all_counted = F.count("Total_N").over(whole) == F.count(F.lit(1)).over(whole)
     return rows.select(
         "*",
-        F.when(all_counted, F.sum(stock).over(whole)).alias("total"),
-        F.sum(stock).over(so_far).alias("stock_through"),
+        F.when(all_counted, F.sum("stock").over(whole)).alias("total"),
+        F.sum("stock").over(so_far).alias("stock_through"),
         F.sum("taxa").over(so_far).alias("taxa_through"),
     )
 

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # A side is broadcast only when its rows, written as JSON text, are measured to stay below this size.
@@ -39,12 +39,34 @@ def settle(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def write_observed(frame: DataFrame, write: Callable[[DataFrame], None], **measures: Column) -> dict[str, object]:
+    """Write a frame and give aggregates of its rows, measured in the tasks that write them: no second scan.
+
+    ``write`` runs one action on the frame it is given.
+    """
+    seen = Observation()
+    write(frame.observe(seen, *[measure.alias(name) for name, measure in measures.items()]))
+    return seen.get
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Give a written folder another name in the same file system."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = path(source).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if files.exists(path(target)):
+        raise FileExistsError(target)
+    if not files.rename(path(source), path(target)):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def clear_settled(spark: SparkSession) -> None:
     """Delete the tables that this application has settled. Call it when none of their readers is needed any more."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
-        f"{shared_folder(spark).rstrip('/')}/haulscore/{spark.sparkContext.applicationId}"
-    )
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    remove(spark, f"{shared_folder(spark).rstrip('/')}/haulscore/{spark.sparkContext.applicationId}")
 
 
 def fits_broadcast(frame: DataFrame, max_bytes: int | None = None) -> bool:

@@ -15,14 +15,18 @@ def _keep_blanks(frame: DataFrame, columns: tuple[str, ...]) -> DataFrame:
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: StructType, blank_is_value: tuple[str, ...] = (), **options: str
+    spark: SparkSession, path: str, schema: StructType, blank_is_value: tuple[str, ...] = (), whole_text: bool = False, **options: str
 ) -> DataFrame:
     """CSV with a header, doubled quotes inside quoted text, and ``NA`` for missing values.
 
     The schema applies by position. Name in ``blank_is_value`` the text columns where an empty cell
-    is not a missing one.
+    is not a missing one. ``whole_text`` reads what ``write_csv`` wrote with that option. Line breaks inside quotes need whole files (``multiLine``), a task
+    each, so write as many files as tasks are wanted; without the option a file is split and a line is a row.
     """
-    settings = {"header": "true", "escape": '"', "encoding": "UTF-8"} | options
+    settings = {"header": "true", "escape": '"', "encoding": "UTF-8"}
+    if whole_text:
+        settings |= {"multiLine": "true", "nullValue": "\\N", "emptyValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    settings |= options
     text = [f.name for f in schema if isinstance(f.dataType, StringType)]
     frame = spark.read.schema(schema).options(**settings).option("nullValue", settings.get("nullValue", "NA")).csv(path)
     unknown = set(blank_is_value) - set(text)

@@ -1,5 +1,6 @@
 """How plans behave at size: shuffles, hot keys, lookups too large to broadcast, written tables."""
 
+import random
 import re
 from pathlib import Path
 
@@ -20,6 +21,7 @@ from haulscore.operators import (
     select_samples,
     with_classes,
 )
+from haulscore.functions.prefix import running_sums
 from haulscore.operators.metrics import pick
 from haulscore.plans import IndexSettings, SurveyTables, haul_metrics, run_index
 from haulscore.runtime import fits_broadcast, lookup_join, settle, shared_folder
@@ -63,11 +65,17 @@ def stored(spark):
     return SurveyTables(**{n: settle(getattr(tables, n), n) for n in ("physical", "numbers", "species_list", "species", "segments")})
 
 
+@pytest.fixture
+def whole_plan(monkeypatch):
+    """Leaves the written rows of the metrics out, so that one plan shows the chain."""
+    monkeypatch.setattr("haulscore.operators.metrics.settle", lambda frame, name: frame)
+
+
 def by_key(frame, key="Reference"):
     return {r[key]: r.asDict() for r in frame.collect()}
 
 
-def test_one_sort_for_all_metrics_and_equal_rows_counted_before_it(spark):
+def test_one_sort_for_all_metrics_and_equal_rows_counted_before_it(spark, whole_plan):
     frame = settle(counts(spark, [("a", "100", 5), ("a", "200", 5), ("b", "200", 4)]), "counts")
     plan = plan_of(sample_metrics(frame))
     assert len(re.findall(r"Exchange hashpartitioning\(Reference", plan)) == 2
@@ -75,7 +83,7 @@ def test_one_sort_for_all_metrics_and_equal_rows_counted_before_it(spark):
     assert "partial_count" in plan.split("Exchange")[2] and "Expand" not in plan
 
 
-def test_over_large_class_table_collapses_a_haul_for_every_caller(spark):
+def test_over_large_class_table_collapses_a_haul_for_every_caller(spark, whole_plan):
     """A haul of many species with few different totals has few rows where it is put in order, for each of the ordered metrics."""
     codes = [(i, f"{i}", f"S{i}", "Y", "B", "MS", "O", "TS", "ZB", "N") for i in range(3000)]
     classes = spark.createDataFrame(codes, schemas.SPECIES_CLASS)
@@ -94,7 +102,7 @@ def test_records_are_summed_before_the_shuffle(spark, stored):
     assert plan.count("Exchange") == 1
 
 
-def test_the_whole_chain_shuffles_records_once_and_totals_once(spark, stored, conf):
+def test_the_whole_chain_shuffles_records_once_and_totals_once(spark, stored, conf, whole_plan):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     plan = plan_of(haul_metrics(stored, SETTINGS))
     exchanges = re.findall(r"Exchange hashpartitioning\((\w+)", plan)
@@ -103,7 +111,7 @@ def test_the_whole_chain_shuffles_records_once_and_totals_once(spark, stored, co
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
-def test_scans_read_needed_columns_only(spark, stored, conf):
+def test_scans_read_needed_columns_only(spark, stored, conf, whole_plan):
     conf("spark.sql.maxMetadataStringLength", "4000")
     plan = plan_of(haul_metrics(stored, SETTINGS))
     reads = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
@@ -158,6 +166,49 @@ def test_a_hot_key_of_a_large_lookup_is_spread(spark, conf):
     assert len(spread) >= 5 and max(r["count"] for r in spread) < 500
 
 
+def test_a_haul_of_many_different_totals_is_spread_over_tasks(spark, monkeypatch):
+    """A third of all rows in one haul, each total its own: no task ranks more than a few blocks of it, and the metrics stay what they are."""
+    ids = spark.range(0, 9000, numPartitions=4)
+    frame = settle(
+        ids.select(
+            F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("h"), (F.col("id") % 40).cast("string"))).alias("Reference"),
+            (F.lit(100) + F.col("id")).cast("string").alias("NODCCODE"),
+            F.concat(F.lit("S"), F.col("id").cast("string")).alias("Scientificname"),
+            (F.col("id") * 0.37 + 1 / (F.col("id") + 1)).alias("Total_N"),
+            *[F.lit(v).alias(c) for c, v in (("Selected_Taxa", "Y"), ("Feeding_Guild", "ZB"), ("Hab_Cat", "B"), ("Est_Cat", "MS"), ("Est_Use", "O"), ("Feeding_Cat", "TS"))],
+        ),
+        "hot-haul",
+    )
+    plain = by_key(sample_metrics(frame))
+    monkeypatch.setattr("haulscore.operators.metrics.BLOCK_ROWS", 250)
+    spread = sample_metrics(frame)
+    assert by_key(spread).keys() == plain.keys() and len(plain) == 41
+    for haul, row in by_key(spread).items():
+        assert row.pop("Reference") == plain[haul].pop("Reference") and row["Taxa90"] == plain[haul]["Taxa90"]
+        assert row == pytest.approx(plain[haul], rel=1e-12)
+    missing = settle(frame.withColumn("Total_N", F.when(F.col("NODCCODE") != "400", F.col("Total_N"))), "missing")
+    row = by_key(sample_metrics(missing))["hot"]
+    assert row["NumIndiv"] is None and row["Shannon"] is None and row["Taxa90"] is None and row["NumTaxa"] == 3000
+
+
+def test_running_sums_by_blocks(spark):
+    rng = random.Random(4)
+    data = [(rng.choice(["hot", "hot", "a", "b", None]), rng.choice([None, *range(50)]), rng.randint(0, 9)) for _ in range(2000)]
+    frame = settle(spark.createDataFrame(data, "k string, v int, n long"), "running")
+    got = running_sums(frame, "k", "v", ["n"], block_rows=60)
+    blocks = got.where("k = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+    assert len(blocks) >= 4
+    for key in ("hot", "a", "b", None):
+        mine = [(v, n) for k, v, n in data if k == key]
+        seen = got.where(F.col("k").eqNullSafe(F.lit(key))).select("v", "n", "n_through", "n_total").collect()
+        assert len(seen) == len(mine) and {r.n_total for r in seen} == {sum(n for _, n in mine)}
+        for r in seen:
+            above = sum(n for v, n in mine if v is not None and (r.v is None or v > r.v))
+            upto = above + sum(n for v, n in mine if v == r.v)
+            assert above + r.n <= r.n_through <= upto
+        assert len({r.n_through for r in seen if r.n}) == sum(1 for _, n in mine if n)
+
+
 def test_lookup_size_is_measured(spark):
     frame = spark.range(1000)
     assert fits_broadcast(frame) and not fits_broadcast(frame, 1000) and fits_broadcast(frame.limit(0), 0)
