@@ -5,11 +5,11 @@ fingerprints differ in at most ``DISTANCE`` bits. A fingerprint is split into si
 so pairs meet by one of the twenty choices of three blocks and are then verified bit by bit.
 
 Equal fingerprints are one node from the start, however many documents share them. A group larger than ``MOST_IN_GROUP`` fingerprints is split
-on: its free bits are cut into four parts, one of which a linked pair must share, and so on until every group is small; a group
-that agrees on all but ten bits cannot be larger. The finer masks are a table made from the masks that have large groups.
+on: the bits that vary in it are cut into four parts, one of which a linked pair must share, and so on until every group is small; a group
+in which at most ten bits vary cannot be larger. Finer masks are worked out from each large group's bits, in tasks.
 
-A pair meets under several masks but belongs to one: the first it shares, then the first of that one's finer masks, and so on. A group
-returns the links of a spanning forest of the pairs that belong to its mask, never all pairs.
+A pair may meet in several groups but belongs to one: under the first mask that it shares, and in a split group the first part. A group returns the
+links of a spanning forest of the pairs that belong to it, never all pairs.
 
 Null and empty texts have fingerprint zero and link like any other. Rows that repeat an id and a text are one document; rows that
 repeat only the id are told apart by their text. A null id never names a component unless all ids in it are null. An empty table gives an empty table.
@@ -17,7 +17,7 @@ repeat only the id are told apart by their text. A null id never names a compone
 
 from __future__ import annotations
 
-from functools import lru_cache
+from collections.abc import Iterator, Sequence
 from itertools import combinations, repeat
 
 import numpy as np
@@ -80,36 +80,15 @@ def first_masks(bits: tuple[int, ...] = BLOCK_BITS, distance: int = DISTANCE) ->
     return [sum(chosen) for chosen in combinations(blocks, len(blocks) - distance)]
 
 
-def finer_masks(mask: int, distance: int = DISTANCE) -> list[int]:
-    """The mask with one of ``distance + 1`` parts of its free bits added."""
-    free = [i for i in range(64) if not mask >> i & 1]
-    parts = np.array_split(free, distance + 1)
-    return [mask | sum(1 << int(i) for i in part) for part in parts if len(part)]
+def finer_masks(varying: int, distance: int = DISTANCE) -> list[int]:
+    """Masks of all bits but the varying ones, with one of ``distance + 1`` parts of these."""
+    parts = np.array_split([i for i in range(64) if varying >> i & 1], distance + 1)
+    rest = ~varying & ((1 << 64) - 1)
+    return [rest | sum(1 << int(i) for i in part) for part in parts]
 
 
-@lru_cache(maxsize=4096)
-def _mask_table(mask: int | None, distance: int) -> np.ndarray:
-    return np.array(first_masks(distance=distance) if mask is None else finer_masks(mask, distance), np.uint64)
-
-
-def own_masks(differences: np.ndarray, level: int, distance: int = DISTANCE) -> np.ndarray:
-    """The mask at a level that pairs of these differing bits belong to."""
-
-    def first_shared(among: np.ndarray, bits: np.ndarray) -> np.ndarray:
-        return among[np.argmax((bits[:, None] & among[None, :]) == 0, axis=1)]
-
-    found = first_shared(_mask_table(None, distance), differences)
-    for _ in range(level):
-        for mask in np.unique(found):
-            here = found == mask
-            finer = _mask_table(int(mask), distance)
-            if len(finer) > distance:
-                found[here] = first_shared(finer, differences[here])
-    return found
-
-
-def spanning_links(group: np.ndarray, distance: int = DISTANCE, mask: int | None = None, level: int = 0) -> list[tuple[int, int]]:
-    """Links of a spanning forest of the fingerprints at most ``distance`` bits apart; with a mask, of the pairs that belong to it."""
+def spanning_links(group: np.ndarray, distance: int = DISTANCE, earlier: Sequence[int] = ()) -> list[tuple[int, int]]:
+    """Links of a spanning forest of the fingerprints at most ``distance`` bits apart that share none of the ``earlier`` masks."""
     links, rest = [], group.view(np.uint64)
     while len(rest) > 1:
         frontier, rest = [rest[0]], rest[1:]
@@ -117,9 +96,9 @@ def spanning_links(group: np.ndarray, distance: int = DISTANCE, mask: int | None
             here = frontier.pop()
             differ = rest ^ here
             near = np.bitwise_count(differ) <= distance
-            if mask is not None and near.any():
-                near[near] = own_masks(differ[near], level, distance) == np.uint64(mask)
             if near.any():
+                for mask in earlier:
+                    near &= (differ & np.uint64(mask)) != 0
                 found = rest[near]
                 links += [(int(here), int(other)) for other in found]
                 frontier += list(found)
@@ -127,49 +106,57 @@ def spanning_links(group: np.ndarray, distance: int = DISTANCE, mask: int | None
     return links
 
 
-def _finer(batches, distance: int):
+def _spanning(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        pairs = [(old, _signed(new)) for old in batch.column("old").to_pylist() for new in finer_masks(old % (1 << 64), distance)]
-        columns = list(zip(*pairs, strict=True)) or [[], []]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["old", "mask"])
+        found = []
+        for group, earlier in zip(batch.column("group"), batch.column("earlier").to_pylist(), strict=True):
+            found += spanning_links(group.values.to_numpy(), distance, [mask % (1 << 64) for mask in earlier])
+        ends = np.array(found, np.uint64).reshape(-1, 2).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["a", "b"])
+
+
+FINER = "family long, mask long, key long, part int, finer long, earlier array<long>"
+
+
+def _split(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.RecordBatch]:
+    """The finer masks of large groups, each with all masks that come before it."""
+    for batch in batches:
+        rows = []
+        for family, mask, key, varying, earlier in zip(*(batch.column(c).to_pylist() for c in ("family", "mask", "key", "varying", "earlier")), strict=True):
+            masks = [_signed(m) for m in finer_masks(varying % (1 << 64), distance)]
+            rows += [(family, mask, key, i, finer, earlier + masks[:i]) for i, finer in enumerate(masks)]
+        columns = list(zip(*rows, strict=True)) or [[]] * 6
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["family", "mask", "key", "part", "finer", "earlier"])
 
 
 def links(fingerprints: DataFrame, column: str = "fingerprint", distance: int = DISTANCE, most: int = MOST_IN_GROUP) -> DataFrame:
     """(a, b) links between different fingerprints that connect exactly what lies within ``distance`` bits, step by step."""
-    coarse = F.explode(F.array(*[F.lit(_signed(mask)) for mask in first_masks(distance=distance)])).alias("mask")
-    rows = fingerprints.select(F.col(column).alias("f")).distinct().select("f", coarse)
-    out, level = None, 0
-
-    def run_at(level: int):
-        def run(batches):
-            for batch in batches:
-                found = [
-                    link
-                    for mask, group in zip(batch.column("mask").to_pylist(), batch.column("group"), strict=True)
-                    for link in spanning_links(group.values.to_numpy(), distance, mask % (1 << 64), level)
-                ]
-                ends = np.array(found, np.uint64).reshape(-1, 2).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["a", "b"])
-
-        return run
-
+    first = [_signed(mask) for mask in first_masks(distance=distance)]
+    coarse = F.array(*[F.struct(F.lit(i).cast("long").alias("family"), F.lit(mask).alias("mask")) for i, mask in enumerate(first)])
+    rows = fingerprints.select(F.col(column).alias("f")).distinct().select("f", F.explode(coarse).alias("m")).select("f", "m.*")
+    # A family is what one mask of one split group holds; it knows the masks before its own.
+    listed = F.array(*[F.struct(F.lit(i).cast("long").alias("family"), F.array(*[F.lit(m) for m in first[:i]]).cast("array<long>").alias("earlier")) for i in range(len(first))])
+    families = settle(fingerprints.sparkSession.range(1).select(F.explode(listed).alias("m")).select("m.*"), "simhash-families")
+    out = None
+    group = ["family", "mask", "key"]
     while True:
         keyed = rows.withColumn("key", F.col("f").bitwiseAND(F.col("mask")))
-        sizes = settle(keyed.groupBy("mask", "key").agg(F.count("*").alias("n")).where("n > 1"), "simhash-groups")
-        # So few free bits make a group small by themselves, and have no four parts.
-        is_large = (F.col("n") > most) & (F.bit_count("mask") <= 64 - (distance + 1))
-        small = keyed.join(sizes.where(~is_large), ["mask", "key"])
-        groups = small.groupBy("mask", "key").agg(F.collect_list("f").alias("group")).select("mask", "group")
-        found = settle(groups.mapInArrow(run_at(level), EDGES), "simhash-edges")
+        varying = F.bit_or("f").bitwiseAND(F.bitwise_not(F.bit_and("f")))
+        sizes = settle(keyed.groupBy(*group).agg(F.count("*").alias("n"), varying.alias("varying")).where("n > 1"), "simhash-groups")
+        # All pairs of a group with so few varying bits are linked.
+        is_large = (F.col("n") > most) & (F.bit_count("varying") > distance)
+        small = keyed.join(sizes.where(~is_large), group).groupBy(*group).agg(F.collect_list("f").alias("group"))
+        found = lookup_join(small, families, ["family"], "inner").select("group", "earlier").mapInArrow(lambda batches: _spanning(batches, distance), EDGES)
+        found = settle(found, "simhash-edges")
         out = found if out is None else out.union(found)
         large = sizes.where(is_large)
         if large.isEmpty():
             return out
-        finer = large.select(F.col("mask").alias("old")).distinct().mapInArrow(lambda batches: _finer(batches, distance), "old long, mask long")
-        held = keyed.join(large.select("mask", "key"), ["mask", "key"]).select("f", F.col("mask").alias("old"))
-        # Two masks may meet in a finer one; a fingerprint needs it once.
-        rows = settle(lookup_join(held, settle(finer, "simhash-masks"), ["old"], "inner").select("f", "mask").distinct(), "simhash-finer")
-        level += 1
+        finer = settle(lookup_join(large, families, ["family"], "inner").mapInArrow(lambda batches: _split(batches, distance), FINER), "simhash-finer")
+        finer = finer.withColumn("next", F.xxhash64(*group, "part"))
+        rows = settle(keyed.join(finer.drop("earlier"), group).select("f", F.col("next").alias("family"), F.col("finer").alias("mask")), "simhash-large")
+        families = finer.select(F.col("next").alias("family"), "earlier")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle_words: int = SHINGLE_WORDS, distance: int = DISTANCE) -> DataFrame:
