@@ -32,6 +32,7 @@ from llm.common import new_path, settle
 MAGIC = b"\x1f\x8b\x08"
 # Bytes of an archive that one reading task owns, and bytes read at once.
 SPLIT_BYTES = 8 << 20
+RANGES_A_TASK = 4
 BLOCK_BYTES = 1 << 20
 LEVEL = 3
 DATE = "2000-01-01T00:00:00Z"
@@ -159,20 +160,30 @@ def records_in(file, start: int, end: int) -> Iterator[bytes]:
         if not genuine:
             at = base + 1
             continue
-        unpack, out, used = zlib.decompressobj(31), [], 0
+        # Blocks go through one by one, so a record of any length is copied once.
+        unpack, out, behind = zlib.decompressobj(31), [], base + len(held)
+        out.append(unpack.decompress(held))
         while not unpack.eof:
-            if used == len(held) and not more():
+            block = file.read_at(min(BLOCK_BYTES, size - behind), behind) if behind < size else b""
+            if not block:
                 raise ValueError(f"the member at byte {base} is cut off")
-            out.append(unpack.decompress(held[used:]))
-            used = len(held) - len(unpack.unused_data)
+            behind += len(block)
+            out.append(unpack.decompress(block))
+        held = unpack.unused_data
+        at = base = behind - len(held)
         yield b"".join(out)
-        at = base + used
 
 
 def read(archives: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """The records of the listed archives (columns path and bytes). Revisits have no payload."""
+    """The records of the listed archives (columns path and bytes). Revisits have no payload.
+
+    Ranges are dealt out evenly, up to ``RANGES_A_TASK`` to a task once all cores have one. The number of tasks is set: by the few bytes that
+    describe a range, all would be put together.
+    """
     ranges = archives.where("bytes > 0").select("path", F.explode(F.expr(f"sequence(0L, bytes - 1, {split_bytes}L)")).alias("start"), "bytes")
-    ranges = ranges.repartition("path", "start")
+    n = ranges.count()
+    tasks = max(1, min(n, max(archives.sparkSession.sparkContext.defaultParallelism, -(-n // RANGES_A_TASK))))
+    ranges = ranges.repartition(tasks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -102,7 +102,7 @@ def test_links_of_a_dense_group_are_linear_and_masks_come_from_the_data(spark):
 def test_a_pair_is_linked_where_it_shares_no_earlier_mask():
     group = np.array([0, 1, 2, 4 << 40], np.uint64).view(np.int64)
     assert len(simhash.spanning_links(group)) == 3
-    assert simhash.spanning_links(group, earlier=[0xFF]) == [(0, 1), (0, 2)]
+    assert simhash.spanning_links(group, earlier=[0xFF]) == [(0, 1), (0, 2), (2, 4 << 40)]
     # Only pairs that differ under both masks are left.
     assert simhash.spanning_links(group, earlier=[0xFF, 0xFF << 40]) == [(1, 4 << 40), (4 << 40, 2)]
 
