@@ -3,7 +3,10 @@
 A text is lower-cased (A-Z) and read as words, runs of characters other than ASCII blanks, punctuation and controls. An
 Aho-Corasick automaton finds every place where a notice phrase's words stand consecutively, overlaps included. Where it finds
 the words of an identifier tag, the expression behind the tag is read from the text itself: and/or/with and
-parentheses are put in order by a shunting-yard parser and evaluated to the licences named.
+parentheses are put in order by a shunting-yard parser and evaluated, to the licences named and to what is demanded of a user: all of
+those joined by ``and``, a choice of those joined by ``or``.
+
+A text of any length takes time in proportion to it, however many phrases it holds and however long or deep its expressions are.
 
 Null and empty texts have no words, no labels and score 0. Repeated rows are scanned each for itself. Other
 columns stay; columns that clash with the added ones are replaced.
@@ -12,7 +15,7 @@ columns stay; columns that clash with the added ones are replaced.
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 import ahocorasick
@@ -115,37 +118,62 @@ def parse(expression: str) -> Tree | None:
     return output[-1] if output else None
 
 
+def _fold(tree: Tree, leaf: Callable, joined: Callable):
+    """Evaluate a tree from its leaves up, however deep it is."""
+    values, open_nodes = [], [(tree, False)]
+    while open_nodes:
+        node, ready = open_nodes.pop()
+        if node.left is None:
+            values.append(leaf(node.name))
+        elif ready:
+            right, left = values.pop(), values.pop()
+            values.append(joined(node.name, left, right))
+        else:
+            open_nodes += [(node, True), (node.right, False), (node.left, False)]
+    return values[0]
+
+
 def licences(tree: Tree | None) -> set[str]:
     """The licences that an expression names; an exception after ``with`` is joined to its licence."""
-    if tree is None:
-        return set()
-    if tree.left is None:
-        return {SAME_AS.get(tree.name, tree.name)}
-    if tree.name == "with":
-        exception = "-".join(sorted(licences(tree.right)))
-        return {f"{name}-with-{exception}" for name in licences(tree.left)}
-    return licences(tree.left) | licences(tree.right)
-
-
-def choices(tree: Tree | None) -> list[frozenset[str]]:
-    """The sets of licences of which a user may pick one: ``or`` offers, ``and`` demands both sides."""
-    if tree is None:
-        return []
-    if tree.left is None or tree.name == "with":
-        return [frozenset(licences(tree))]
-    left, right = choices(tree.left), choices(tree.right)
-    if tree.name == "or":
-        return list(dict.fromkeys([*left, *right]))
-    return list(dict.fromkeys(a | b for a in left for b in right))
+
+    def joined(name: str, left: set[str], right: set[str]) -> set[str]:
+        if name == "with":
+            return {f"{licence}-with-{'-'.join(sorted(right))}" for licence in left}
+        left |= right
+        return left
+
+    return set() if tree is None else _fold(tree, lambda name: {SAME_AS.get(name, name)}, joined)
+
+
+def demands(tree: Tree | None) -> str:
+    """What an expression asks of a user, in one form: ``or`` offers a choice, ``and`` demands all. Operands are sorted and stand once."""
+
+    def text(value: tuple[str, set[str]]) -> str:
+        return f" {value[0]} ".join(sorted(value[1]))
+
+    def within(value: tuple[str, set[str]], operator: str) -> set[str]:
+        """The operands of the same operator, else the whole value as one."""
+        if len(value[1]) == 1 or value[0] == operator:
+            return value[1]
+        return {f"({text(value)})"}
+
+    def joined(name: str, left: tuple[str, set[str]], right: tuple[str, set[str]]) -> tuple[str, set[str]]:
+        if name == "with":
+            return "", {f"{'-'.join(sorted(left[1]))}-with-{'-'.join(sorted(right[1]))}"}
+        operands = within(left, name)
+        operands |= within(right, name)
+        return name, operands
+
+    return "" if tree is None else text(_fold(tree, lambda name: ("", {SAME_AS.get(name, name)}), joined))
 
 
 def automaton(base: Mapping[str, str], more: Mapping[str, tuple[str, float]]) -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
     for phrase, (label, sure) in more.items():
-        found.add_word(f" {phrase} ", (len(phrase) + 2, label, sure, False))
+        found.add_word(f" {phrase} ", (len(phrase.split()), label, sure, False))
     for phrase, label in base.items():
-        found.add_word(f" {phrase} ", (len(phrase) + 2, label, 1.0, True))
-    found.add_word(f" {TAG_WORDS} ", (len(TAG_WORDS) + 2, "", 0.0, False))
+        found.add_word(f" {phrase} ", (len(phrase.split()), label, 1.0, True))
+    found.add_word(f" {TAG_WORDS} ", (len(TAG_WORDS.split()), "", 0.0, False))
     found.make_automaton()
     return found
 
@@ -154,11 +182,12 @@ def scan_text(text: str | None, machine: ahocorasick.Automaton) -> tuple:
     raw = (text or "").encode()
     tokens = raw.translate(_TO_WORDS).split()
     if not tokens:
-        return 0, 0, None, None, "", "", 0.0
+        return 0, 0, None, None, "", "", 0.0, ""
     # Latin-1 keeps one character a byte, so that the automaton's places are byte places.
     line = f" {b' '.join(tokens).decode('latin-1')} "
     base, first, last, marked, sure, tagged = 0, None, None, set(), 0.0, False
-    labels: set[str] = set()
+    labels, asked = set(), set()
+    gaps, counted = 0, 0  # blanks before a place of the line
     for end, (size, label, certainty, in_base) in machine.iter(line):
         if not label:
             tagged = True
@@ -166,21 +195,24 @@ def scan_text(text: str | None, machine: ahocorasick.Automaton) -> tuple:
         sure = max(sure, certainty)
         labels.add(label)
         if in_base:
-            at = line.count(" ", 0, end - size + 1)
+            gaps, counted = gaps + line.count(" ", counted, end + 1), end + 1
+            at = gaps - size - 1
             base, first, last = base + 1, at if first is None else min(first, at), at if last is None else max(last, at)
             marked.add(label)
     if tagged:
         for found in TAG.finditer(raw.translate(_LOWER).decode()):
-            named = licences(parse(found[1]))
-            labels |= named
-            sure = 1.0 if named else sure
-    return len(tokens), base, first, last, ",".join(sorted(marked)), ",".join(sorted(labels)), sure
+            tree = parse(found[1])
+            if tree is not None:
+                labels |= licences(tree)
+                asked.add(demands(tree))
+                sure = 1.0
+    return len(tokens), base, first, last, ",".join(sorted(marked)), ",".join(sorted(labels)), sure, "; ".join(sorted(asked))
 
 
 def scan(docs: DataFrame, text: str = "text", base: Mapping[str, str] = BASE_PHRASES, more: Mapping[str, tuple[str, float]] = MORE_PHRASES) -> DataFrame:
-    """Add n_words, n_base, first_word, last_word, base_labels, labels and score (the certainty of the surest find)."""
+    """Add n_words, n_base, first_word, last_word, base_labels, labels, score (the certainty of the surest find) and demands (of each tagged expression)."""
     kinds = [("n_words", T.LongType()), ("n_base", T.LongType()), ("first_word", T.LongType()), ("last_word", T.LongType())]
-    kinds += [("base_labels", T.StringType()), ("labels", T.StringType()), ("score", T.DoubleType())]
+    kinds += [("base_labels", T.StringType()), ("labels", T.StringType()), ("score", T.DoubleType()), ("demands", T.StringType())]
     machines: list[ahocorasick.Automaton] = []
 
     def run(part: pa.RecordBatch) -> list[pa.Array]:
