@@ -1,7 +1,7 @@
 """Mixing sources to target weights by temperature, in built-in functions only.
 
 A source's weight is its token share raised to an exponent and normalised: 1 keeps the corpus as it is, 0 gives every source the
-same. The target entropy is a floor: a corpus that reaches it stays as it is, else the exponent is bisected below 1 until the weights
+same. The target entropy is a floor, either fixed or a part of the way from the corpus's own to the largest: a corpus that reaches it stays as it is, else the exponent is bisected below 1 until the weights
 reach it, and raised again where a small source would be repeated more often than the limit allows. The entropy reached is a column of the plan. Weights times the token budget are the sources' budgets.
 
 A budget is spent in epochs. Each epoch permutes the source's blocks, and the documents inside a block, by hash. Whole epochs take
@@ -43,6 +43,7 @@ class Target:
     entropy: float | None = 0.95
     most_repeats: float = 4.0
     budget: float = 1.0  # tokens to draw, as a multiple of the corpus; no more than most_repeats
+    closer: float = 0.0  # the share of the corpus's own distance from the largest entropy that should be closed besides
     highest_exponent: float = 1.0  # less than 1 flattens more than the entropy asks for; more than 1 counts as 1: nothing makes large sources larger
 
 
@@ -76,8 +77,10 @@ def exponent(sources: DataFrame, target: Target, tokens: int, largest: int, n_so
     budget = min(target.budget, target.most_repeats)
     z, zl = F.sum(F.exp(F.col("a") * F.col("l"))), F.sum(F.exp(F.col("a") * F.col("l")) * F.col("l"))
     found = min(1.0, target.highest_exponent)
-    if target.entropy is not None and n_sources > 1:
-        wanted = target.entropy * math.log(n_sources)
+    if (target.entropy is not None or target.closer) and n_sources > 1:
+        own = sources.agg(F.sum(F.exp("l")).alias("z"), F.sum(F.exp("l") * F.col("l")).alias("zl")).first()
+        here, most = math.log(own["z"]) - own["zl"] / own["z"], math.log(n_sources)
+        wanted = max((target.entropy or 0.0) * most, here + target.closer * (most - here))
         # Entropy falls as the exponent rises: look for the last exponent that still reaches the target.
         entropy = F.ln(z) - F.col("a") * zl / z
         found = _bisect(sources, 0.0, found, lambda f: f.groupBy("a").agg((entropy <= wanted).alias("yes")))

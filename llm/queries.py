@@ -45,7 +45,7 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    planned = mixing.plan(docs, mixing.Target(entropy=0.95, most_repeats=4.0, budget=1.0))
+    planned = mixing.plan(docs, mixing.Target(entropy=0.95, closer=0.5, most_repeats=4.0, budget=1.0))
     drawn = mixing.mix(docs, planned).drop("text")
     weights = planned.select("source", "weight", F.col("budget").alias("budget_tokens"), F.col("tokens").alias("source_tokens"))
     return lookup_join(drawn, weights, ["source"], "left", null_safe=True)

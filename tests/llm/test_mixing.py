@@ -51,6 +51,23 @@ def test_exponent_meets_the_entropy(spark):
         assert planned[s].weight == pytest.approx(w, abs=1e-9) and planned[s].budget == pytest.approx(w * sum(t.values()), abs=1)
 
 
+def test_half_of_the_way_to_even_weights(spark):
+    """A target of the corpus's own: sources that are nearly even are mixed as well."""
+    rows = corpus({"a": 40, "b": 30, "c": 36})
+    planned, out = drawn(spark, rows, mixing.Target(entropy=0.9, closer=0.5, most_repeats=4.0))
+    t, most = tokens(rows), math.log(3)
+    own = entropy(literal_weights(t, 1.0)) / most
+    a = planned["a"].exponent
+    assert own > 0.9 and 0 < a < 1
+    assert entropy(literal_weights(t, a)) / most == pytest.approx((1 + own) / 2, abs=1e-6) == planned["a"].entropy
+    spent = Counter()
+    for r in out:
+        spent[r.source] += len(r.text.split())
+    assert all(abs(spent[s] - p.budget) < 40 for s, p in planned.items()) and max(r.epoch for r in out) == 1
+    fixed, _ = drawn(spark, rows, mixing.Target(entropy=None, closer=0.0))
+    assert fixed["a"].exponent == 1.0
+
+
 def test_repetition_limit_raises_the_exponent(spark):
     rows = corpus({"a": 400, "b": 10})
     planned, out = drawn(spark, rows, mixing.Target(entropy=1.0, most_repeats=2.0))
