@@ -200,6 +200,21 @@ def segments_as_text(spark: SparkSession) -> DataFrame:
     return segments_from_wkt(spark.createDataFrame(layer, "segment_code int, wkt string"))
 
 
+def damaged_segments(spark: SparkSession) -> DataFrame:
+    """The layer as it may come: rings from another corner on, every second one backwards, some open, some with a corner twice."""
+    rings: dict[int, list[tuple[float, float]]] = {}
+    for code, _, x, y in VERTICES:
+        rings.setdefault(code, []).append((x, y))
+    vertices = []
+    for code, points in rings.items():
+        corners = points[:-1]
+        turned = corners[code % 3 :] + corners[: code % 3]
+        turned = turned[::-1] if code % 2 else turned
+        turned += turned[:1] * (code % 4 // 2) + turned[-1:] * (code % 3 == 0)
+        vertices += [(code, 1, i, x, y) for i, (x, y) in enumerate(turned)]
+    return segments_from_vertices(spark.createDataFrame(vertices, "segment_code int, ring_no int, vertex_no int, x double, y double"))
+
+
 def field_descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A field dictionary from the part table: brands are fields; several parts repeat a description."""
     blank = F.lit(None).cast("string")

@@ -466,4 +466,22 @@ ORACLE: dict[str, str] = {
     "refreshed_segments": _after("seg_yearly", "SELECT * FROM seg_yearly"),
     "colocated_catch": _after("catch", f"SELECT {_DATED} FROM catch"),
     "colocated_segments": _after("all_sites", f"SELECT {_DATED} FROM all_sites"),
+    "repaired_segments": _after("assigned", "SELECT * FROM assigned"),
+    # The area of a polygon inside a box: along each edge, the integral of its height held to the box, over the box's width.
+    "clipped_segments": _after(
+        "box",
+        f"""
+        SELECT segment_code::INTEGER AS segment_code, {_SEGMENT_NAME} AS bay_segment, round(abs(sum(
+                 CASE WHEN x2 > x1 THEN -1 ELSE 1 END * (b - a) * CASE WHEN ya = yb THEN greatest(least(ya, ymax), ymin)
+                   ELSE (CASE WHEN yb < ymin THEN ymin * (yb - ymin) WHEN yb <= ymax THEN (yb * yb - ymin * ymin) / 2
+                              ELSE (ymax * ymax - ymin * ymin) / 2 + ymax * (yb - ymax) END
+                         - CASE WHEN ya < ymin THEN ymin * (ya - ymin) WHEN ya <= ymax THEN (ya * ya - ymin * ymin) / 2
+                                ELSE (ymax * ymax - ymin * ymin) / 2 + ymax * (ya - ymax) END) / (yb - ya) END)), 6) AS area
+        FROM (SELECT *, y1 + (y2 - y1) * (a - x1) / (x2 - x1) AS ya, y1 + (y2 - y1) * (b - x1) / (x2 - x1) AS yb
+              FROM (SELECT *, greatest(least(x1, x2), xmin) AS a, least(greatest(x1, x2), xmax) AS b
+                    FROM edge, (SELECT x0 + 0.25 * (x1 - x0) AS xmin, x1 - 0.25 * (x1 - x0) AS xmax,
+                                       y0 + 0.1 * (y1 - y0) AS ymin, y1 - 0.1 * (y1 - y0) AS ymax FROM box))
+              WHERE x1 <> x2 AND a < b)
+        GROUP BY segment_code HAVING round(area, 6) > 0""",
+    ),
 }

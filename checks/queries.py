@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from haulscore.functions import calendar_date, expanded_count
+from haulscore.functions.polygons import area, clip_rings, repair_rings
 from haulscore.operators import (
     assign_segments,
     attach_segments,
@@ -166,6 +167,18 @@ def query_assign_segments_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_segments(distinct_sites(_catch(spark, sf_dir)), fx.segments_as_text(spark))
 
 
+def query_repaired_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments from a layer whose rings are open, turned and backwards, once it is repaired."""
+    return assign_segments(distinct_sites(_catch(spark, sf_dir)), repair_rings(fx.damaged_segments(spark)))
+
+
+def query_clipped_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The layer cut to the inner part of the hauls' extent, with the area that is left."""
+    box = padded_extent(survey_hauls(fx.survey(spark, sf_dir), fx.SETTINGS), pad_x=-0.25, pad_y=-0.10)
+    clipped = clip_rings(repair_rings(fx.damaged_segments(spark)), box)
+    return clipped.select("segment_code", "bay_segment", F.round(area(), DIGITS).alias("area"))
+
+
 def query_prepare_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = prepare_counts(_catch_with_segments(spark, sf_dir), fx.species(spark, sf_dir))
     return _dated(counts).drop("effort", "Project_1", "Project_2", "Project_3")
@@ -444,6 +457,8 @@ QUERIES: dict[str, Query] = {
     "assemble": query_assemble,
     "csv_species": query_csv_species,
     "csv_scores": query_csv_scores,
+    "repaired_segments": query_repaired_segments,
+    "clipped_segments": query_clipped_segments,
     "csv_texts": query_csv_texts,
     "site_table": query_site_table,
     "date_spellings": query_date_spellings,

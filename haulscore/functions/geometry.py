@@ -89,6 +89,12 @@ def _products(e: str, x: str, y: str) -> tuple[str, str]:
     return f"(({e}.bx - {e}.ax) * ({y} - {e}.ay))", f"(({e}.by - {e}.ay) * ({x} - {e}.ax))"
 
 
+def side_expression(e: str, x: str, y: str) -> str:
+    """SQL for the side of an upward edge's line that a point lies on: 1 left, -1 right, 0 on it."""
+    one, other = _products(e, x, y)
+    return f"if(abs({one} - {other}) > {SURE}D * (abs({one}) + abs({other})), signum({one} - {other}), {_exact(e, x, y)})"
+
+
 def _left(e: str, x: str, y: str) -> str:
     """True for a point strictly to the left of an upward edge's line."""
     one, other = _products(e, x, y)
@@ -116,9 +122,9 @@ def candidates_at(x: str, y: str, right: str, bottom: str) -> Column:
     return F.expr(f"transform(filter(candidates, c -> {_inside(x, y, right, bottom, 'c.corner', 'c.edges')}), c -> c.bay_segment)")
 
 
-def _ray(x: str, y: str, edges: str) -> Column:
-    """Whether a point is inside, from all edges of a polygon: a level ray to the right crosses an odd number."""
-    return F.expr(f"aggregate({edges}, false, (inner, e) -> inner <> (e.ay <= {y} AND {y} < e.by AND {_left('e', x, y)}))")
+def ray_expression(x: str, y: str, edges: str) -> str:
+    """SQL for whether a point is inside, from all edges of a polygon: a level ray to the right crosses an odd number."""
+    return f"aggregate({edges}, false, (inner, e) -> inner <> (e.ay <= {y} AND {y} < e.by AND {_left('e', x, y)}))"
 
 
 def _touching(edges: str, x0: str, y0: str, x1: str, y1: str) -> Column:
@@ -145,7 +151,7 @@ BOX = ("x0", "y0", "x1", "y1")
 
 def _parts_of(whole: DataFrame, side: float) -> DataFrame:
     """The parts that polygons have in the top cells."""
-    return _with_box(whole, side).select("bay_segment", "cell_x", "cell_y", _ray("x1", "y0", "edges").alias("corner"), _touching("edges", *BOX).alias("edges"))
+    return _with_box(whole, side).select("bay_segment", "cell_x", "cell_y", F.expr(ray_expression("x1", "y0", "edges")).alias("corner"), _touching("edges", *BOX).alias("edges"))
 
 
 def _split(parts: DataFrame, side: float) -> DataFrame:

@@ -64,13 +64,14 @@ def prepare_counts(catch: DataFrame, species: DataFrame) -> DataFrame:
     A sampling date that is text may be spelled in any way that ``calendar_date`` knows.
     """
     is_text = isinstance(catch.schema["Sampling_Date"].dataType, StringType)
+    date = calendar_date(F.col("Sampling_Date")) if is_text else F.to_date("Sampling_Date")
     attributes = [c for c in catch.columns if c not in ("Reference", "NODCCODE", *RECORD_COLUMNS)]
     counts = combine_counts(catch, attributes).withColumns(
         {
-            "Sampling_Date": calendar_date(F.col("Sampling_Date")) if is_text else F.to_date("Sampling_Date"),
+            "Sampling_Date": date,
             "Bay": bay_code(F.col("Reference")),
-            "Year": F.year("Sampling_Date"),
-            "Month": F.month("Sampling_Date"),
+            "Year": F.year(date),
+            "Month": F.month(date),
         }
     )
     return with_classes(counts, species)

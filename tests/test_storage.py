@@ -1,0 +1,294 @@
+"""Tables stored by haul, states that new rows are merged into, checksums, measured writes, texts through CSV, dates as text."""
+
+import datetime
+import math
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from haulscore import schemas
+from haulscore.functions import calendar_date
+from haulscore.functions.polygons import area, clip_rings, repair_rings, ring_crossings
+from haulscore.operators import attach_segments, build_catch, compare_tables, reference_conditions, segment_scores, select_samples, yearly_scores
+from haulscore.operators.compare import compare_by_digests, table_digests
+from haulscore.operators.states import (
+    append_states,
+    conditions_from_states,
+    merged,
+    moment_states,
+    quantiles_of_counts,
+    segments_from_states,
+    stored_states,
+    value_states,
+    yearly_from_states,
+)
+from haulscore.runtime import settle
+from haulscore.sources import open_colocated, read_csv, write_colocated, write_csv, write_scores
+from helpers import numbers, physical, plan_of, rows, species_list
+
+
+RINGS = "array<array<struct<x:double,y:double>>>"
+
+
+def some_hauls(spark, n=60):
+    hauls = [(f"TBM{i:03d}", {"Zone": None if i % 5 == 0 else "Z", "Grid": None if i % 7 == 0 else i}) for i in range(n)]
+    records = [(f"TBM{i:03d}", "100" if k % 2 else "200", k) for i in range(n) if i % 9 for k in range(3 + 40 * (i == 1))]
+    return physical(spark, hauls), numbers(spark, [*records, (None, "100", 1), ("TBM999", "100", 1)])
+
+
+@pytest.mark.parametrize("hot", [1_000_000, 20])
+def test_catch_of_stored_hauls_is_joined_where_it_lies(spark, conf, tmp_path, hot):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.requireAllClusterKeysForCoPartition", "true")
+    hauls, records = some_hauls(spark)
+    folder = str(tmp_path / "stored")
+    write_colocated(hauls, records, folder, buckets=4, hot_records=hot)
+    stored = open_colocated(spark, folder, buckets=4)
+    assert stored.hot_hauls.count() == (1 if hot == 20 else 0) and stored.hauls.count() + stored.hot_hauls.count() == 60
+
+    def catch(physical_, numbers_):
+        return build_catch(select_samples(physical_), numbers_, species_list(spark))
+
+    got = stored.apply(catch)
+    plan = plan_of(got)
+    assert rows(got) == rows(catch(hauls, records)) and got.count() > 150
+    assert "Exchange hashpartitioning" not in plan and plan.count("SortMergeJoin") == 1
+    # The few hot hauls are broadcast; their records stay in as many files as they had.
+    assert ("BroadcastHashJoin" in plan.split("Union")[-1]) if hot == 20 else "Union" not in plan
+
+
+@pytest.mark.parametrize("hot", [1_000_000, 20])
+def test_segments_are_attached_where_records_lie(spark, conf, tmp_path, hot):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.requireAllClusterKeysForCoPartition", "true")
+    hauls, records = some_hauls(spark)
+    catch = settle(build_catch(select_samples(hauls), records, species_list(spark)), "catch")
+    sites = hauls.select("Reference", "Longitude", "Latitude", "Zone", F.when(F.col("Grid") == 3, 4).otherwise(F.col("Grid")).alias("Grid"), F.lit("HB").alias("bay_segment"))
+    folder = str(tmp_path / "stored")
+    write_colocated(sites, catch, folder, buckets=4, hot_records=hot)
+    stored = open_colocated(spark, folder, buckets=4)
+    got = stored.apply(lambda s, c: attach_segments(c, s, null_references=False))
+    plan = plan_of(got)
+    assert rows(got) == rows(attach_segments(catch, sites))
+    assert got.where("NODCCODE is null").count() == 7 + 1  # hauls without records, and the one that moved
+    if hot > 20:
+        assert "Exchange hashpartitioning" not in plan
+
+
+def test_stored_tables_open_in_another_session(spark, conf, tmp_path):
+    conf("spark.sql.requireAllClusterKeysForCoPartition", "true")
+    hauls, records = some_hauls(spark, 10)
+    folder = str(tmp_path / "stored")
+    write_colocated(hauls, records, folder, buckets=3)
+    other = spark.newSession()
+    stored = open_colocated(other, folder, buckets=3)
+    assert stored.hauls.count() == 10 and stored.hot_records.where("Reference is null").count() == 1
+
+
+def metrics(spark, n=400, seed=1):
+    rng = random.Random(seed)
+    frame = [
+        (f"R{i}", 1998 + i % 5, rng.choice(["HB", "OTB", None]), rng.choice(["Winter", "Summer"]), *(None if rng.random() < 0.05 else float(rng.randint(0, 9)) for _ in range(4)), rng.random())
+        for i in range(n)
+    ]
+    return settle(spark.createDataFrame(frame, "Reference string, Year int, bay_segment string, Season string, NumTaxa double, BenthicTaxa double, TaxaSelect double, NumGuilds double, Shannon double"), "m")
+
+
+def test_a_refresh_gives_the_bits_of_a_full_computation(spark, tmp_path):
+    table, folder = metrics(spark), str(tmp_path / "states")
+    for years in ((1998, 2000), (2001, 2001), (2002, 2002)):
+        append_states(value_states(table.where(F.col("Year").between(*years))), folder, "values")
+    append_states(value_states(table.where("Year = 2002").limit(0)), folder, "values")
+    stored = stored_states(spark, folder, "values")
+    assert rows(stored, *value_states(table).columns) == rows(value_states(table))
+    got = conditions_from_states(stored, (1999, 2002))
+    want = reference_conditions(table, (1999, 2002))
+    assert sorted(got.columns) == sorted(want.columns) and rows(got, *want.columns) == rows(want)
+    one = stored_states(spark, folder, "values", (2002, 2002))
+    assert re.search(r"PartitionFilters: \[isnotnull\(Year", plan_of(one))
+
+
+def test_moments_merge_to_the_yearly_results(spark, tmp_path):
+    rng = random.Random(2)
+    data = [(f"R{i}", 2000 + i % 4, rng.choice(["HB", "OTB"]), None if i == 9 else rng.randint(0, 50) * 2.0) for i in range(200)] + [("x", 2010, "HB", 4.0)]
+    scores = settle(spark.createDataFrame(data, "Reference string, Year int, bay_segment string, Index_Score double"), "s")
+    folder = str(tmp_path / "states")
+    for year in (2000, 2001, 2002, 2003, 2010):
+        append_states(moment_states(scores.where(F.col("Year") == year)), folder, "moments")
+    stored, whole = stored_states(spark, folder, "moments"), moment_states(scores)
+    assert rows(stored, *whole.columns) == rows(whole)
+    assert rows(yearly_from_states(stored)) == rows(yearly_from_states(whole))
+    got, want = ({r["Year"]: r.asDict() for r in f.collect()} for f in (yearly_from_states(stored), yearly_scores(scores)))
+    assert got.keys() == want.keys() and all(got[y] == pytest.approx(want[y]) for y in want)
+    assert got[2001]["Yr_Index"] is None and got[2010]["SEM"] is None
+    assert rows(segments_from_states(stored)) == rows(segment_scores(scores))
+    with pytest.raises(ValueError):
+        append_states(whole, folder, "other")
+
+
+def test_late_rows_of_a_stored_year_are_added(spark, tmp_path):
+    table, folder = metrics(spark), str(tmp_path / "states")
+    append_states(value_states(table.where("Reference < 'R3'")), folder, "values")
+    append_states(value_states(table.where("Reference >= 'R3'")), folder, "values")
+    whole = merged(value_states(table))
+    assert rows(stored_states(spark, folder, "values"), *whole.columns) == rows(whole)
+
+
+@pytest.mark.parametrize("block", [7, 100_000])
+def test_quantiles_of_counted_values(spark, block):
+    rng = random.Random(3)
+    data = [(rng.choice(["a", "b"]), rng.choice([float("nan"), *(rng.random() for _ in range(5)), 0.5])) for _ in range(300)] + [("one", 2.0)]
+    frame = settle(spark.createDataFrame(data, "g string, value double"), "q")
+    counts = frame.groupBy("g", "value").agg(F.count("*").alias("copies"))
+    got = quantiles_of_counts(counts, ["g"], (0.05, 0.5, 0.95, 1.0), block)
+    want = frame.groupBy("g").agg(F.percentile("value", F.array(*[F.lit(p) for p in (0.05, 0.5, 0.95, 1.0)])).alias("q")).select("g", *[F.col("q")[i] for i in range(4)])
+    assert [str(r) for r in rows(got)] == [str(r) for r in rows(want)]
+
+
+def two_tables(spark):
+    a = spark.createDataFrame([(f"k{i}", float(i), f"t{i}") for i in range(300)] + [(None, 1.0, "n")], "k string, v double, t string")
+    b = a.withColumn("v", F.when(F.col("k") == "k7", 99.0).when(F.col("k") == "k8", F.col("v") + 0.01).otherwise(F.col("v"))).where("k is null or k <> 'k200'")
+    return settle(a, "a"), settle(b, "b")
+
+
+def test_digests_give_the_differences_of_the_whole_tables(spark):
+    a, b = two_tables(spark)
+    assert rows(compare_by_digests(a, b, "k")) == rows(compare_tables(a, b, "k")) != []
+    assert rows(compare_by_digests(a, a.repartition(5), "k")) == []
+    odd = b.withColumn("v", F.col("v").cast("string")).withColumn("more", F.lit(1))
+    assert rows(compare_by_digests(a, odd, "k")) == rows(compare_tables(a, odd, "k"))
+    assert rows(compare_by_digests(a, odd.select("k", "more"), "k")) == rows(compare_tables(a, odd.select("k", "more"), "k"))
+    none = a.limit(0)
+    assert rows(compare_by_digests(a, none, "k")) == rows(compare_tables(a, none, "k"))
+
+
+def test_equal_tables_move_no_rows(spark):
+    a, _ = two_tables(spark)
+    moved = {}
+
+    def watch(frame, name):
+        out = settle(frame, name)
+        moved[name] = out.count()
+        return out
+
+    from haulscore.operators import compare
+
+    original, compare.settle = compare.settle, watch
+    try:
+        got = compare_by_digests(a, settle(a.repartition(3), "copy"), "k")
+    finally:
+        compare.settle = original
+    assert moved == {"differing-buckets": 0} and got.count() == 0
+    assert re.search(r"Exchange.*\n.*HashAggregate\(keys=\[bucket.*partial", plan_of(table_digests(a, "k", ["v", "t"])))
+
+
+def test_a_missing_value_is_not_an_empty_one_and_order_does_not_matter(spark):
+    schema = "k string, t string, u string"
+    pairs = [[("a", None, "x")], [("a", "x", None)], [("a", "", "x")], [("a", "x", "x")]]
+    sums = [str(rows(table_digests(spark.createDataFrame(p, schema), "k", ["t", "u"]))) for p in pairs]
+    assert len(set(sums)) == 4
+    twice = spark.createDataFrame([("a", "x", "y"), ("a", "x", "y")], schema)
+    assert rows(table_digests(twice, "k", ["t", "u"])) != rows(table_digests(twice.limit(1), "k", ["t", "u"]))
+
+
+def test_scores_are_computed_once_and_named_after(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    row = lambda year: ("r", year, 1, "Winter", "HB", 0.0, 0.0, 1.0, 1.0, 1.0, 1.0, 1.0, 10.0)
+    frame = spark.createDataFrame([row(1998), row(2018), row(2003)], schemas.SCORES)
+    path = write_scores(frame.mapInPandas(count, frame.schema), str(tmp_path))
+    assert path.endswith("/scores_1998-2018") and seen.value == 3
+    with pytest.raises(FileExistsError):
+        write_scores(frame, str(tmp_path))
+    write_scores(frame.limit(3), str(tmp_path), mode="overwrite")
+    assert rows(read_csv(spark, path, schemas.SCORES)) == rows(frame)
+
+
+def test_any_text_comes_back_whole(spark, tmp_path):
+    texts = ["", " ", "NA", '"', '""', ",", "\n", "\r\n", "a\rb", "\\", '\\"', "\\N?", " lead", "trail ", 'x,"y"\nz', "#c", "é ü", None]
+    frame = spark.createDataFrame([(i, t, None if i % 2 else "s") for i, t in enumerate(texts)], "i int, t string, u string")
+    path = str(tmp_path / "csv")
+    write_csv(frame, path, whole_text=True)
+    assert rows(read_csv(spark, path, frame.schema, whole_text=True)) == rows(frame)
+
+
+def test_rings_in_any_form_are_repaired_to_one(spark):
+    shell, hole = [(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 4.0)], [(1.0, 1.0), (1.0, 3.0), (3.0, 3.0), (3.0, 1.0)]
+    island = [(1.5, 1.5), (2.5, 1.5), (2.5, 2.5), (1.5, 2.5)]
+    rng = random.Random(8)
+    layer = []
+    for i in range(12):
+        rings = []
+        for ring in (shell, hole, island):
+            k = rng.randrange(4)
+            ring = ring[k:] + ring[:k]
+            ring = ring[::-1] if rng.random() < 0.5 else ring
+            rings.append(ring + ring[:1] * rng.randrange(3))
+        rng.shuffle(rings)
+        layer.append((f"S{i}", [*rings, [(9.0, 9.0)], [(5.0, 5.0), (6.0, 6.0), (7.0, 7.0)], [(1.0, None)]]))
+    layer += [("none", None), ("empty", [])]
+    got = repair_rings(spark.createDataFrame(layer, f"bay_segment string, rings {RINGS}"))
+    listed = got.select("bay_segment", "rings", area()).collect()
+    forms = {str([[tuple(p) for p in ring] for ring in r[1]]) for r in listed if r[0].startswith("S")}
+    assert forms == {str([[*shell, shell[0]], [*hole, hole[0]], [*island, island[0]]])}
+    assert {r[2] for r in listed if r[0].startswith("S")} == {16.0 - 4.0 + 1.0} and {tuple(r[1]) for r in listed if not r[0].startswith("S")} == {()}
+
+
+def test_crossing_edges_are_reported(spark):
+    bow, square = [(0.0, 0.0), (2.0, 2.0), (2.0, 0.0), (0.0, 2.0), (0.0, 0.0)], [(5.0, 5.0), (6.0, 5.0), (6.0, 6.0), (5.0, 6.0), (5.0, 5.0)]
+    touching = [[(8.0, 0.0), (9.0, 1.0), (8.0, 1.0), (8.0, 0.0)], [(9.0, 1.0), (10.0, 1.0), (10.0, 2.0), (9.0, 1.0)]]
+    layer = spark.createDataFrame([("bow", [bow]), ("square", [square]), ("touching", touching)], f"bay_segment string, rings {RINGS}")
+    assert [r["bay_segment"] for r in ring_crossings(repair_rings(layer)).collect()] == ["bow"]
+    assert ring_crossings(layer, most_edges=2).count() == 1
+
+
+def test_clipping_against_a_fine_lattice(spark):
+    """Areas of clipped random rings against a count of small squares, and points inside both."""
+    rng = random.Random(9)
+    shapes = []
+    for i in range(6):
+        corners = sorted(rng.uniform(0, 6.283) for _ in range(9))
+        shapes.append((f"S{i}", [[(3 * rng.uniform(0.3, 1) * math.cos(t), 3 * rng.uniform(0.3, 1) * math.sin(t)) for t in corners]]))
+    shapes.append(("away", [[(50.0, 50.0), (51.0, 50.0), (50.0, 51.0)]]))
+    layer = repair_rings(spark.createDataFrame(shapes, f"bay_segment string, rings {RINGS}"))
+    box = spark.createDataFrame([(-1.1, -0.7, 1.3, 2.2)], "xmin double, ymin double, xmax double, ymax double")
+    clipped = clip_rings(layer, box)
+    assert "away" not in {r[0] for r in clipped.collect()} and "NestedLoop" not in plan_of(clipped)
+    step = 0.02
+    for name, found, rings in layer.join(clipped.select("bay_segment", area().alias("left")), "bay_segment").select("bay_segment", "left", "rings").collect():
+        ring = [tuple(p) for p in rings[0]]
+
+        def held(x, y):
+            return sum((a[1] > y) != (b[1] > y) and x < (b[0] - a[0]) * (y - a[1]) / (b[1] - a[1]) + a[0] for a, b in zip(ring, ring[1:], strict=False)) % 2
+
+        n = sum(held(-1.1 + step * (i + 0.5), -0.7 + step * (j + 0.5)) for i in range(120) for j in range(145))
+        assert found == pytest.approx(n * step * step, abs=0.05), name
+    whole = clip_rings(layer, spark.createDataFrame([(-99.0, -99.0, 99.0, 99.0)], "xmin double, ymin double, xmax double, ymax double"))
+    assert rows(whole.select("bay_segment", F.round(area(), 9))) == rows(layer.select("bay_segment", F.round(area(), 9)))
+
+
+def test_dates_in_many_spellings(spark):
+    want = datetime.date(2018, 3, 9)
+    good = ["2018-03-09", "20180309", "180309", "2018/3/9", "18.3.09", " 2018 Mar 9 ", "2018-march-09", "2018-03-09 11:22:33", "2018-03-09T11:22:33Z", "2018, 3, 9"]
+    bad = ["2018-13-01", "2018-02-30", "20181301", "09.03.2018x", "", "NA", None, "2018-foo-09", "2018-3", "201803091"]
+    frame = spark.createDataFrame([(t,) for t in [*good, *bad, "68-01-02", "69-01-02"]], "t string")
+    got = {r.t: r.d for r in frame.select("t", calendar_date(F.col("t")).alias("d")).collect()}
+    assert {got[t] for t in good} == {want} and {got[t] for t in bad} == {None}
+    assert got["68-01-02"].year == 2068 and got["69-01-02"].year == 1969
+
+
+def test_text_dates_of_the_catch(spark):
+    from haulscore.operators import prepare_counts
+    from helpers import species
+
+    hauls, records = some_hauls(spark, 10)
+    catch = build_catch(select_samples(hauls), records, species_list(spark)).withColumn("bay_segment", F.lit("HB"))
+    spelled = catch.withColumn("Sampling_Date", F.date_format("Sampling_Date", "yyyy MMM d"))
+    assert rows(prepare_counts(spelled, species(spark))) == rows(prepare_counts(catch, species(spark)))
