@@ -5,7 +5,7 @@ document is the mean of its features' vectors; a softmax over two classes reads
 trained together by stochastic gradient descent in numpy on a bounded sample of labelled texts.
 
 The softmax of a mean of vectors needs of each bucket only its two class scores, so scoring a text is one look-up per feature.
-Null and empty texts have no features and get the score of the mean document, the share of label 1. A text's score depends on nothing but its words.
+Null and empty texts have no features and get the score of the mean document, the share of label 1. Texts of any length are read in pieces. A text's score depends on nothing but its words.
 Repeated rows are scored alike; other columns stay; a column that clashes with the added ones is replaced.
 """
 
@@ -136,12 +136,75 @@ def fit(texts: Sequence[str], labels: Sequence[int], share: float | None = None,
     return Model((vectors @ side).astype(np.float32), float(bias[1] - bias[0] - prior + wanted))
 
 
+def _hash_of(word: np.ndarray) -> np.uint64:
+    """The hash that ``features`` gives a word, in pieces."""
+    h, ahead = 0, 1
+    for begin in range(0, len(word), CHUNK):
+        part = word[begin : begin + CHUNK].astype(np.uint64)
+        up, _ = _powers(len(part))
+        h = (h + int((part * up).sum(dtype=np.uint64)) * ahead) % (1 << 64)
+        ahead = ahead * pow(int(_BASE), len(part), 1 << 64) % (1 << 64)
+    return np.uint64(h)
+
+
+def _gram_sums(weight: np.ndarray, word: np.ndarray) -> tuple[float, int]:
+    """Sum of weights and number of the n-grams of one long word."""
+    total, count, most = 0.0, 0, max(GRAMS)
+    padded = np.concatenate([[0x20], word, [0x20]]).astype(np.uint8)
+    for begin in range(0, len(padded), CHUNK):
+        wide = padded[begin : begin + CHUNK + most - 1].astype(np.uint64)
+        for size in GRAMS:
+            last = min(len(wide) - size + 1, CHUNK)
+            if last < 1:
+                continue
+            h = np.full(last, np.uint64(size))
+            for j in range(size):
+                h = h * _BASE + wide[j : j + last]
+            total, count = total + float(weight[_bucket(h)].sum(dtype=np.float64)), count + last
+    return total, count
+
+
+def long_sums(weight: np.ndarray, data: np.ndarray) -> tuple[float, int]:
+    """Sum of weights and number of the features of one text, in pieces of about CHUNK bytes cut at white space; a longer word is a piece of its own."""
+    total, count, begin, before = 0.0, 0, 0, None
+    while begin < len(data):
+        end = min(len(data), begin + CHUNK)
+        if end < len(data):
+            blanks = np.flatnonzero(_BLANK[data[begin:end]])
+            if len(blanks) and blanks[-1] > 0:
+                end = begin + int(blanks[-1])
+            else:
+                while end < len(data) and not len(ahead := np.flatnonzero(_BLANK[data[end : end + CHUNK]])):
+                    end = min(len(data), end + CHUNK)
+                end += int(ahead[0]) if end < len(data) else 0
+        piece = data[begin:end]
+        blank = np.concatenate([[True], _BLANK[piece], [True]])
+        edges = np.flatnonzero(blank[1:] != blank[:-1])
+        begin = end
+        if not len(edges):
+            continue
+        first, last = piece[edges[0] : edges[1]], piece[edges[-2] : edges[-1]]
+        if before is not None:  # the pair across the cut
+            total, count = total + float(weight[_bucket(np.array([_hash_of(first)]) - np.array([before]) + np.uint64(1))][0]), count + 1
+        before = _hash_of(last)
+        if len(edges) == 2 and len(piece) > CHUNK:
+            grams, n = _gram_sums(weight, first)
+            total, count = total + grams + float(weight[_bucket(np.array([before]))][0]), count + n + 1
+        else:
+            _, bucket = features(piece, np.array([0, len(piece)]))
+            total, count = total + float(weight[bucket].sum(dtype=np.float64)), count + len(bucket)
+    return total, count
+
+
 def scores(model: Model, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """The chance of label 1 of each text. Work is done in pieces of whole texts; one long text is one piece."""
-    owner, bucket = features(data, starts)
+    """The chance of label 1 of each text. A text of more than CHUNK bytes is read in pieces, so memory does not grow with it."""
     n = len(starts) - 1
-    total = np.bincount(owner, weights=model.weight[bucket], minlength=n)[:n]
-    count = np.bincount(owner, minlength=n)[:n]
+    if n == 1 and len(data) > CHUNK:
+        total, count = (np.array([x]) for x in long_sums(model.weight, data))
+    else:
+        owner, bucket = features(data, starts)
+        total = np.bincount(owner, weights=model.weight[bucket], minlength=n)[:n]
+        count = np.bincount(owner, minlength=n)[:n]
     return 1 / (1 + np.exp(-np.clip(total / np.maximum(count, 1) + model.bias, -30, 30)))
 
 

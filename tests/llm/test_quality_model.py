@@ -1,5 +1,6 @@
 """The subword classifier: features, held-out accuracy, awkward documents."""
 
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -85,3 +86,25 @@ def test_empty_tables(spark):
     model = quality_model.fit(texts, known, share)
     assert quality_model.score_texts(empty(spark), model).count() == 0
     assert [r.score for r in quality_model.score_texts(frame(spark, awkward()[:1]), model).collect()] == [pytest.approx(0.5, abs=0.4)]
+
+
+@pytest.mark.parametrize("text", ["ab cd  ef\n" * 300, "x" * 900 + " ab " + "é" * 700 + " y", " \t ", "a", "one two " + "z" * 5000, "z" * 130 + " " + "q" * 128, "w" * 64 + " v" * 64])
+def test_long_texts_in_pieces_have_the_features_of_whole_ones(monkeypatch, text):
+    data = np.frombuffer(text.encode(), np.uint8)
+    weight = np.random.default_rng(1).normal(size=1 << quality_model.BUCKET_BITS).astype(np.float32)
+    bucket = quality_model.features(data, np.array([0, len(data)]))[1]
+    for chunk in (16, 64, 1000):
+        monkeypatch.setattr(quality_model, "CHUNK", chunk)
+        total, count = quality_model.long_sums(weight, data)
+        assert count == len(bucket) and total == pytest.approx(float(weight[bucket].sum(dtype=np.float64)), abs=1e-6)
+
+
+@pytest.mark.parametrize("unit", ["some words of a text ", "unbroken"])
+def test_memory_does_not_grow_with_a_text(unit):
+    model = quality_model.Model(np.zeros(1 << quality_model.BUCKET_BITS, np.float32), 0.0)
+    data = np.frombuffer((unit * (32_000_000 // len(unit))).encode(), np.uint8)
+    tracemalloc.start()
+    quality_model.scores(model, data, np.array([0, len(data)]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20 * len(data)
