@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Copies of a lookup side, and slices of each hot key, once it is too large to broadcast.
 SALTS = 16
-# Bytes of the look-ups that this process has measured, by application and plan.
-_MEASURED: dict[tuple[str, int], int] = {}
+# Bytes of the look-ups that this process has measured, by application, plan and size of the files behind it.
+_MEASURED: dict[tuple[str, int, str, str], int] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -72,10 +72,12 @@ def clear_settled(spark: SparkSession) -> None:
 def fits_broadcast(frame: DataFrame, max_bytes: int | None = None) -> bool:
     """Measure a frame with one distributed aggregate. Give it scans or settled frames, not long plans.
 
-    A session measures the same look-up once. Should its files grow meanwhile, the plan may be a poorer one; results stay the same.
+    A session measures the same look-up once; a plan of another text, or over files of another size, is another look-up.
     """
     limit = BROADCAST_BYTES if max_bytes is None else max_bytes
-    key = (frame.sparkSession.sparkContext.applicationId, frame.semanticHash())
+    plans = frame._jdf.queryExecution()
+    size = str(plans.optimizedPlan().stats().sizeInBytes())
+    key = (frame.sparkSession.sparkContext.applicationId, frame.semanticHash(), plans.analyzed().canonicalized().toString(), size)
     if key not in _MEASURED:
         _MEASURED[key] = frame.agg(F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("bytes")).first()["bytes"] or 0
     return _MEASURED[key] <= limit

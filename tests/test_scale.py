@@ -214,6 +214,14 @@ def test_lookup_size_is_measured(spark):
     assert fits_broadcast(frame) and not fits_broadcast(frame, 1000) and fits_broadcast(frame.limit(0), 0)
 
 
+def test_a_grown_lookup_is_measured_again(spark, tmp_path):
+    path = str(tmp_path / "grows")
+    spark.range(10).write.parquet(path)
+    assert fits_broadcast(spark.read.parquet(path), 2000)
+    spark.range(100_000).write.mode("append").parquet(path)
+    assert not fits_broadcast(spark.read.parquet(path), 2000)
+
+
 def test_a_hot_haul_is_split_in_the_record_join(spark, conf):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "20KB")
