@@ -179,8 +179,17 @@ def as_hex(fingerprint: str) -> Column:
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle_words: int = SHINGLE_WORDS, distance: int = DISTANCE) -> DataFrame:
-    """One document of each component, with all its columns: the one of the smallest key."""
-    stay = near_duplicates(docs, key, text, shingle_words, distance).where("stays").select(F.col(key).alias("_key"), F.col("text_hash").alias("_hash")).distinct()
+    """One document of each component, with all its columns: the one of the smallest key.
+
+    Texts are shuffled once, to meet the keys that stay. Only rows that repeat both id and text, if there are any, are compared with one another.
+    """
+    found = near_duplicates(docs, key, text, shingle_words, distance).where("stays").groupBy(F.col(key).alias("_key"), F.col("text_hash").alias("_text_hash"))
+    stay = settle(found.agg(F.count("*").alias("_rows")), "simhash-stay")
     hashed = docs.withColumn("_text_hash", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    same = hashed[key].eqNullSafe(stay["_key"]) & (hashed["_text_hash"] == stay["_hash"])
-    return hashed.join(stay, same, "left_semi").dropDuplicates([key, "_text_hash"]).drop("_text_hash")
+    single, repeated = stay.where("_rows = 1"), stay.where("_rows > 1")
+    same = hashed[key].eqNullSafe(single["_key"]) & (hashed["_text_hash"] == single["_text_hash"])
+    kept = hashed.join(single, same, "left_semi").drop("_text_hash")
+    if repeated.isEmpty():
+        return kept
+    rows = lookup_join(hashed, repeated.select(F.col("_key").alias(key), "_text_hash", "_rows"), [key, "_text_hash"], "inner", null_safe=True)
+    return kept.unionByName(rows.drop("_rows").dropDuplicates([key, "_text_hash"]).drop("_text_hash"))
