@@ -5,7 +5,9 @@ merge by union and tell containment between very unequal documents. Texts too sh
 keep their ``FLOOR`` least hashes instead; these merge the same way.
 
 Null and empty texts have the empty sketch. A text of fewer words than a shingle counts as one shingle. Two empty
-sketches are alike (1.0), an empty and another are not (0.0).
+sketches are alike (1.0), an empty and another are not (0.0). Repeated rows have equal sketches; an empty table stays empty. A text of any length is sketched
+whole: its words and shingle hashes are held. Other columns stay; one named like the added column is replaced, and names that
+begin with an underscore are the module's own.
 """
 
 from __future__ import annotations

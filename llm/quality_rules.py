@@ -5,7 +5,8 @@ most rejection per cost first, each next rule only of documents that all earlier
 never the verdict: a document is kept if no rule rejects it.
 
 Null and empty texts have no words and fail the length rule. Repeated rows are judged each for itself. Columns of the
-input stay; measures are added under the names in ``MEASURES``, replacing columns of these names.
+input stay; measures are added under the names in ``MEASURES``, replacing columns of these names. An empty table stays empty. A text of any length is judged
+whole: its words and window hashes are held, some 30 bytes a word. Input columns whose names begin with an underscore are not kept.
 """
 
 from __future__ import annotations

@@ -13,6 +13,8 @@ links of a spanning forest of the pairs that belong to it, never all pairs.
 
 Null and empty texts have fingerprint zero and link like any other. Rows that repeat an id and a text are one document; rows that
 repeat only the id are told apart by their text. A null id never names a component unless all ids in it are null. An empty table gives an empty table.
+A text of any length is one row's work: its words are held, its hashes counted in pieces. Other columns pass through ``keep_first``; a column named like an
+added one is replaced in ``with_fingerprint`` and not read elsewhere.
 """
 
 from __future__ import annotations

@@ -11,6 +11,8 @@ HTML in UTF-8 never holds the magic's second byte after its first, so no payload
 
 A null payload is empty, a null URL is left out, a null id is written as ``none`` and never referred to. Rows that repeat id and payload are
 records of their own, of the same type. Broken members raise an error that names file and place; digests are checked on reading.
+A payload of any length is one record, held once by the task that writes or reads it. Columns other than page_id, url and html are not archived,
+whatever their names; an empty table gives no archive.
 """
 
 from __future__ import annotations

@@ -1,8 +1,10 @@
 """Threshold-scaled sketches against exact likeness and plain Python."""
 
 import hashlib
+import re
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from llm import fingerprints
@@ -44,6 +46,63 @@ def test_likeness_and_containment_are_near_the_exact_ones(spark):
         assert abs(row.c - len(a & b) / len(a)) < 0.15
 
 
+def literal_hashes(text):
+    """Spark's hash of an array: each word's XXH64, seeded with the hash before it."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    out = set()
+    for i in range(max(1, len(words) - 4) if words else 0):
+        h = 42
+        for word in words[i : i + 5]:
+            h = xxhash.xxh64_intdigest(word.encode(), h)
+        out.add(h)
+    return out
+
+
+def literal_sketch(hashes, floor=16):
+    kept = {h for h in hashes if h < 1 << 61}
+    return kept if len(kept) >= floor else set(sorted(hashes)[:floor])
+
+
+def literal_likeness(a, b, floor=16):
+    if a == b or not a or not b:
+        return float(a == b)
+    seen = literal_sketch(a | b, floor)
+    return len(a & b & seen) / len(seen)
+
+
+def with_retained(n, seed):
+    """A text whose sketch retains exactly n hashes below the threshold."""
+    words = prose(seed, 600).split()
+    return next(" ".join(words[:k]) for k in range(5, 600) if sum(h < 1 << 61 for h in literal_hashes(" ".join(words[:k]))) == n)
+
+
+def test_sketches_and_likeness_at_the_floor(spark):
+    """Around sixteen retained hashes a sketch changes from its least hashes to all below the threshold; both kinds compare and merge."""
+    texts = [with_retained(n, seed) for n in (15, 16, 17) for seed in (1, 2)] + ["", "one two", prose(1, 30)]
+    got = {r.i: r.sketch for r in sketches(spark, texts).collect()}
+    want = {i: literal_sketch(literal_hashes(t)) for i, t in enumerate(texts)}
+    assert {i: {h % (1 << 64) for h in s} for i, s in got.items()} == want
+    assert [len(want[i]) for i in range(6)] == [16] * 4 + [17] * 2
+    pairs = [(i, j) for i in want for j in want]
+    both = spark.createDataFrame([(i, j, got[i], got[j]) for i, j in pairs], "i long, j long, a array<long>, b array<long>")
+    a, b = F.col("a"), F.col("b")
+    for r in both.select("i", "j", fingerprints.likeness(a, b).alias("l"), fingerprints.containment(a, b).alias("c"), fingerprints.merge(a, b).alias("m")).collect():
+        x, y = want[r.i], want[r.j]
+        assert r.l == pytest.approx(literal_likeness(x, y))
+        seen = literal_sketch(x | y)
+        assert r.c == pytest.approx(1.0 if not x else 0.0 if not y or not x & seen else len(x & y & seen) / len(x & seen))
+        assert {h % (1 << 64) for h in r.m} == literal_sketch(x | y)
+        # Merging two sketches is sketching both texts' shingles.
+        assert literal_sketch(x | y) == literal_sketch(literal_hashes(texts[r.i]) | literal_hashes(texts[r.j]))
+
+
+def test_long_texts_and_columns_of_the_same_name(spark):
+    long = prose(7, 60_000)
+    docs = spark.createDataFrame([(1, long, "mine"), (2, None, "mine")], "i long, text string, sketch string")
+    got = {r.i: r.sketch for r in fingerprints.with_sketch(docs, "text", "sketch").collect()}
+    assert {h % (1 << 64) for h in got[1]} == literal_sketch(literal_hashes(long)) and got[2] == []
+
+
 def test_sketches_merge(spark):
     a, b = prose(5, 500), prose(6, 30)
     s = {r.i: r.sketch for r in sketches(spark, [a, b]).collect()}
@@ -78,7 +137,9 @@ def test_query_matches_a_literal_reading(spark, tmp_path):
         q = len(t) // 4
         edited = t[: len(t) - q] + after[:q]
         assert (got[i].n_chars, got[i].edited_sha256) == (len(t), hashlib.sha256(edited.encode()).hexdigest())
-        assert 0 <= got[i].near_edited <= 1 and 0 <= got[i].near_next <= 1
+        mine, changed, following = (literal_sketch(literal_hashes(x)) for x in (t, edited, after))
+        assert got[i].near_edited == pytest.approx(literal_likeness(mine, changed))
+        assert got[i].near_next == pytest.approx(literal_likeness(mine, following))
     assert got[52].fingerprint == got[53].fingerprint and got[52].near_next == 1.0
     assert got[50].fingerprint == "" and got[50].near_edited == 1.0
 

@@ -63,6 +63,13 @@ def test_clean_prose_is_kept_and_junk_is_not(spark):
     assert [r.doc_id for r in quality_rules.apply_rules(docs).where("kept").collect()] == [0]
 
 
+def test_long_texts_and_columns_of_the_same_name(spark):
+    long = prose(7, 60_000) + " a b c a b c"
+    docs = spark.createDataFrame([(1, long, "mine", 5.0)], "doc_id long, text string, kept string, n_words double")
+    row = quality_rules.apply_rules(docs).first()
+    assert tuple(row[m] for m in quality_rules.MEASURES) == literal(long) and row.kept is True
+
+
 @pytest.mark.parametrize("rules", [None, []])
 def test_empty_table(spark, rules):
     assert quality_rules.apply_rules(empty(spark), rules).count() == 0

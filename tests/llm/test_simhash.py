@@ -132,6 +132,11 @@ def test_awkward_documents(spark):
     assert kept[0].__fields__ == ["doc_id", "text", "lang", "source", "fingerprint"]
 
 
+def test_a_long_text_is_read_whole():
+    text = prose(6, 90_000)
+    assert simhash.fingerprint_of(text.encode()) == literal_fingerprint(text)
+
+
 def test_empty_table(spark):
     assert simhash.near_duplicates(empty(spark)).count() == 0
     assert simhash.keep_first(empty(spark)).count() == 0

@@ -5,12 +5,14 @@ import gzip
 import hashlib
 import io
 import random
+from collections import Counter
 
 import pytest
 from pyarrow import fs
 
 from llm import warc
 from llm.queries import op4_warc
+from tests.llm.cases import awkward, frame
 
 SCHEMA = "page_id long, url string, html string"
 
@@ -119,6 +121,14 @@ def test_small_payloads_null_ids_and_repeated_rows(spark):
     assert sorted(got, key=key) == sorted(want, key=key)
 
 
+def test_awkward_documents_as_pages(spark):
+    rows = awkward()
+    docs = frame(spark, rows).selectExpr("doc_id AS page_id", "source AS url", "text AS html", "lang AS payload", "n_chars AS payload_bytes", "'x' AS refers_to")
+    got = warc.resolved(warc.read(warc.write(warc.decide(docs)))).collect()
+    want = Counter((r[0], len((r[1] or "").encode()), digest((r[1] or "").encode())) for r in rows)
+    assert Counter((r.page_id, r.payload_bytes, r.payload_digest) for r in got) == want
+
+
 def test_empty_table(spark):
     archives = warc.write(warc.decide(spark.createDataFrame([], SCHEMA)))
     assert archives.count() == 0 and warc.resolved(warc.read(archives)).count() == 0
