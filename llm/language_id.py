@@ -9,6 +9,9 @@ the shortest code wins.
 The trees of all languages are laid over one another: one walk finds the context node, and one row there holds each
 language's cost of the byte. All bytes of a batch walk at once.
 
+Training texts are drawn from those of at most ``LONGEST_TRAINING_TEXT`` bytes, so a language that has only longer ones is not learned. Texts of any
+length are scored whole, in pieces. An empty table stays empty.
+
 Null texts and texts without a letter are ``und`` with score 0, as is every text if nothing could be learned. Ties go to
 the language that sorts first. Repeated rows are scored alike; other columns stay; columns that clash with
 the added ones are replaced.
@@ -32,7 +35,8 @@ ORDER = 4
 # Bounds of the training sample: texts of each language, and bytes of a text (longer ones are not drawn).
 TEXTS_PER_LANGUAGE = 200
 LONGEST_TRAINING_TEXT = 65_536
-# Context nodes kept, by how often they occur; a context occurs at least twice.
+# Context nodes kept. Of two contexts the one stays that makes up more of some language's own training text, so that neither many
+# languages nor much text in others crowds a language out; a context occurs at least twice.
 MAX_NODES = 12_000
 # Bytes that walk at once.
 CHUNK = 1 << 18
@@ -77,13 +81,16 @@ def fit(texts: Sequence[tuple[str, str]], order: int = ORDER, max_nodes: int = M
     keys, first, total = [np.zeros(1, np.int64)], [0], 1
     for depth in range(1, order + 1):
         found = [_contexts(x, s, classes, depth)[1] for x, s in zip(data, starts, strict=True)]
-        key, count = np.unique(np.concatenate(found), return_counts=True)
-        key, count = key[count >= 2], count[count >= 2]
-        parent = np.isin(key % classes ** (depth - 1), keys[-1])
-        key, count = key[parent], count[parent]
+        key, of, count = np.unique(np.concatenate(found), return_inverse=True, return_counts=True)
+        weight, at = np.zeros(len(key)), 0
+        for one in found:
+            weight = np.maximum(weight, np.bincount(of[at : at + len(one)], minlength=len(key)) / max(len(one), 1))
+            at += len(one)
+        kept = (count >= 2) & np.isin(key % classes ** (depth - 1), keys[-1])
+        key, weight = key[kept], weight[kept]
         room = (max_nodes - total) // (2 if depth < order else 1)
         if len(key) > room:
-            key = np.sort(key[np.argsort(-count, kind="stable")[:room]])
+            key = np.sort(key[np.argsort(-weight, kind="stable")[:room]])
         keys.append(key)
         first.append(total)
         total += len(key)

@@ -92,6 +92,26 @@ def test_held_out_accuracy_and_query_columns(spark, tmp_path):
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
+def test_forty_languages_of_unequal_size_are_each_known():
+    """Languages of overlapping syllables, with 4 to 200 training texts: the bound on nodes crowds none of them out."""
+    rng = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyzäöüßéèçñøåœłžш日"
+    syllables = ["".join(rng.choice(letters) for _ in range(rng.randint(2, 3))) for _ in range(160)]
+    kinds = {f"l{i:02d}": rng.sample(syllables, 14) for i in range(40)}
+
+    def text(l):
+        return " ".join("".join(rng.choice(kinds[l]) for _ in range(rng.randint(1, 3))) for _ in range(rng.randint(8, 40)))
+
+    sizes = {l: (200, 60, 15, 4)[i % 4] for i, l in enumerate(kinds)}
+    model = language_id.fit([(l, text(l)) for l, n in sizes.items() for _ in range(n)])
+    assert len(model.child) <= language_id.MAX_NODES
+    asked = [(l, text(l)) for l in kinds for _ in range(25)]
+    raw = [t.encode() for _, t in asked]
+    bits = language_id.code_lengths(model, np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])]))
+    right = Counter(l for (l, _), best in zip(asked, bits.argmin(1), strict=True) if model.languages[best] == l)
+    assert min(right[l] for l in kinds) >= 0.9 * 25
+
+
 def test_labels_of_held_out_documents_teach_nothing(spark, tmp_path):
     rows = languages(2, 120)
     for name, change in (("a", lambda r: r), ("b", lambda r: (*r[:2], "zz", *r[3:]))):
