@@ -95,36 +95,38 @@ def side_expression(e: str, x: str, y: str) -> str:
     return f"if(abs({one} - {other}) > {SURE}D * (abs({one}) + abs({other})), signum({one} - {other}), {_exact(e, x, y)})"
 
 
-def _left(e: str, x: str, y: str) -> str:
+def error_bound(side: float) -> str:
+    """SQL for what rounding may add to the side test of any point and edge of a layer whose top cells have this side."""
+    return f"{2e-15 * side * side}D"
+
+
+def _left(e: str, x: str, y: str, bound: str) -> str:
     """True for a point strictly to the left of an upward edge's line."""
     one, other = _products(e, x, y)
-    return f"if(abs({one} - {other}) > {SURE}D * (abs({one}) + abs({other})), {one} > {other}, {_exact(e, x, y)} > 0)"
+    return f"({one} - {other} > {bound} OR ({one} - {other} >= -{bound} AND {_exact(e, x, y)} > 0))"
 
 
-def _inside(x: str, y: str, right: str, bottom: str, corner: str, edges: str) -> str:
+def _inside(x: str, y: str, right: str, bottom: str, corner: str, edges: str, bound: str) -> str:
     """Whether a point of a cell is inside, from whether the cell's lower right corner is, and the edges that touch the cell.
 
     Each edge that passes between the two, along the level to (right, y) and the upright line from there to the corner, changes it.
     """
-    levels, spans = f"(e.ay <= {y} AND {y} < e.by)", f"(least(e.ax, e.bx) <= {right} AND {right} < greatest(e.ax, e.bx))"
-    places = f"array(named_struct('x', {x}, 'y', {y}), named_struct('x', {right}, 'y', {y}), named_struct('x', {right}, 'y', {bottom}))"
-    passes = f"({levels} AND l[0] AND NOT l[1]) <> ({spans} AND if(e.ay = e.by, ({y} >= e.ay) <> ({bottom} >= e.ay), l[1] <> l[2]))"
-    sides = f"transform(array(transform({places}, z -> {_left('e', 'z.x', 'z.y')})), l -> {passes})[0]"
-    return f"aggregate(filter({edges}, e -> {levels} OR {spans}), {corner}, (inner, e) -> inner <> {sides})"
-
+    here, turn, end = (_left("e", *place, bound) for place in ((x, y), (right, y), (right, bottom)))
+    level = f"(e.ay <= {y} AND {y} < e.by AND {here} AND NOT {turn})"
+    spans = f"least(e.ax, e.bx) <= {right} AND {right} < greatest(e.ax, e.bx)"
+    upright = f"({spans} AND if(e.ay = e.by, ({y} >= e.ay) <> ({bottom} >= e.ay), {turn} <> {end}))"
+    return f"aggregate({edges}, {corner}, (inner, e) -> inner <> ({level} <> {upright}))"
 
-def inside(x: str, y: str, right: str, bottom: str, corner: str, edges: str) -> Column:
-    return F.expr(_inside(x, y, right, bottom, corner, edges))
 
-
-def candidates_at(x: str, y: str, right: str, bottom: str) -> Column:
+def candidates_at(x: str, y: str, right: str, bottom: str, bound: str) -> Column:
     """Names of a cell's candidates that hold the point."""
-    return F.expr(f"transform(filter(candidates, c -> {_inside(x, y, right, bottom, 'c.corner', 'c.edges')}), c -> c.bay_segment)")
+    return F.expr(f"transform(filter(candidates, c -> {_inside(x, y, right, bottom, 'c.corner', 'c.edges', bound)}), c -> c.bay_segment)")
 
 
-def ray_expression(x: str, y: str, edges: str) -> str:
+def ray_expression(x: str, y: str, edges: str, bound: str | None = None) -> str:
     """SQL for whether a point is inside, from all edges of a polygon: a level ray to the right crosses an odd number."""
-    return f"aggregate({edges}, false, (inner, e) -> inner <> (e.ay <= {y} AND {y} < e.by AND {_left('e', x, y)}))"
+    left = _left("e", x, y, bound) if bound else f"{side_expression('e', x, y)} > 0"
+    return f"aggregate({edges}, false, (inner, e) -> inner <> (e.ay <= {y} AND {y} < e.by AND {left}))"
 
 
 def _touching(edges: str, x0: str, y0: str, x1: str, y1: str) -> Column:
@@ -151,23 +153,28 @@ BOX = ("x0", "y0", "x1", "y1")
 
 def _parts_of(whole: DataFrame, side: float) -> DataFrame:
     """The parts that polygons have in the top cells."""
-    return _with_box(whole, side).select("bay_segment", "cell_x", "cell_y", F.expr(ray_expression("x1", "y0", "edges")).alias("corner"), _touching("edges", *BOX).alias("edges"))
+    corner = F.expr(ray_expression("x1", "y0", "edges", error_bound(side))).alias("corner")
+    return _counted(_with_box(whole, side).select("bay_segment", "cell_x", "cell_y", corner, _touching("edges", *BOX).alias("edges")))
+
+
+def _counted(parts: DataFrame) -> DataFrame:
+    """With the number of edges, so that cells are counted without reading any."""
+    return parts.withColumn("n", F.size("edges"))
 
 
-def _split(parts: DataFrame, side: float) -> DataFrame:
+def _split(parts: DataFrame, side: float, bound: str) -> DataFrame:
     """The parts of polygons in the four children of each cell; ``side`` is the parent's."""
     quarter = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)]))
     parents = _with_box(parts, side).select("bay_segment", "corner", "edges", F.col("x1").alias("right"), F.col("y0").alias("bottom"), "cell_x", "cell_y", quarter.alias("q"))
     children = parents.withColumns({"cell_x": F.col("cell_x") * 2 + F.col("q.i"), "cell_y": F.col("cell_y") * 2 + F.col("q.j")})
-    return _with_box(children, side / 2).select(
-        "bay_segment", "cell_x", "cell_y", inside("x1", "y0", "right", "bottom", "corner", "edges").alias("corner"), _touching("edges", *BOX).alias("edges")
-    )
+    corner = F.expr(_inside("x1", "y0", "right", "bottom", "corner", "edges", bound)).alias("corner")
+    return _counted(_with_box(children, side / 2).select("bay_segment", "cell_x", "cell_y", corner, _touching("edges", *BOX).alias("edges")))
 
 
 def segment_cells(segments: DataFrame, most_edges: int = MOST_EDGES, deepest: int = DEEPEST) -> Cells:
     """The cell tree of a polygon layer (bay_segment, rings of closed points). Build it once for a layer that serves several calls.
 
-    Each level is written: the parts of polygons in its cells, and which of these cells are split. A polygon's part is a row of its own, so no row
+    Each level is written: the parts of polygons in its cells. A polygon's part is a row of its own, so no row
     and no task holds more than one polygon's edges before a cell is a leaf.
     """
     points = F.flatten("rings")
@@ -189,8 +196,7 @@ def segment_cells(segments: DataFrame, most_edges: int = MOST_EDGES, deepest: in
     parts = settle(_parts_of(whole, side), "cell-parts")
     leaves, levels = [], []
     for level in range(deepest + 1):
-        busy = parts.groupBy("cell_x", "cell_y").agg(F.sum(F.size("edges")).alias("n")).where(F.col("n") > most_edges).drop("n")
-        busy = settle(busy, "cells-split") if level < deepest else busy.limit(0)
+        busy = parts.groupBy("cell_x", "cell_y").agg(F.sum("n").alias("n")).where(F.col("n") > most_edges).drop("n")
         done = level == deepest or busy.isEmpty()
         here = parts if done else parts.join(busy, ["cell_x", "cell_y"], "left_anti")
         leaves.append(here.select(F.lit(level).alias("level"), "cell_x", "cell_y", "bay_segment", "corner", "edges"))
@@ -198,8 +204,8 @@ def segment_cells(segments: DataFrame, most_edges: int = MOST_EDGES, deepest: in
         if done:
             break
         # What lies outside a polygon is left to the parts that split the cell.
-        open_parts = parts.join(busy, ["cell_x", "cell_y"], "left_semi").where((F.size("edges") > 0) | F.col("corner"))
-        parts = settle(_split(open_parts, side), "cell-parts")
+        open_parts = parts.join(busy, ["cell_x", "cell_y"], "left_semi").where((F.col("n") > 0) | F.col("corner"))
+        parts = settle(_split(open_parts, side, error_bound(top)), "cell-parts")
         side /= 2
     every = leaves[0]
     for more in leaves[1:]:

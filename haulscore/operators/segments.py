@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import CONDITIONAL_BELOW, CONDITIONAL_GRID, CONDITIONAL_SEGMENT, GRID_SEGMENTS, OUTER_SEGMENTS
-from ..functions.geometry import MOST_EDGES, OUTSIDE, Cells, candidates_at, cell_of, levels_of, segment_cells
+from ..functions.geometry import MOST_EDGES, OUTSIDE, Cells, candidates_at, cell_of, error_bound, levels_of, segment_cells
 from ..runtime import lookup_join
 
 SITE_KEYS = ("Reference", "Zone", "Grid")
@@ -27,7 +27,7 @@ def assign_segments(sites: DataFrame, segments: DataFrame | Cells, most_edges: i
     asked = sites.withColumn("_at", F.explode(levels_of(x, y, cells))).withColumns({"level": F.col("_at.level"), "_side": F.col("_at.side")})
     column, row = (F.when(F.col("level") == OUTSIDE, 0).otherwise(cell_of(v, F.col("_side"))) for v in (x, y))
     placed = asked.select(*sites.columns, "level", "_side", column.alias("cell_x"), row.alias("cell_y"))
-    names = candidates_at("Longitude", "Latitude", "((cell_x + 1) * _side)", "(cell_y * _side)")
+    names = candidates_at("Longitude", "Latitude", "((cell_x + 1) * _side)", "(cell_y * _side)", error_bound(cells.side))
     return lookup_join(placed, cells.leaves, ["level", "cell_x", "cell_y"], "inner").select(*sites.columns, F.explode_outer(names).alias("bay_segment"))
 
 

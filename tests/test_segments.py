@@ -174,7 +174,7 @@ def test_cells_grow_with_the_boundary_and_full_ones_hold_no_edge(spark):
         sizes[corners] = leaves.count()
         full = leaves.where("size(candidates) = 1 and size(candidates[0].edges) = 0 and candidates[0].corner")
         area = full.select(F.sum(F.pow(F.lit(32.0) / F.pow(F.lit(2.0), F.col("level")), F.lit(2.0)))).first()[0]
-        assert area > (0.75 if corners == 250 else 0.9) * math.pi * 100
+        assert area > (0.75 if corners == 250 else 0.85) * math.pi * 100
         assert leaves.select(F.max(F.aggregate("candidates", F.lit(0), lambda n, c: n + F.size(c["edges"])))).first()[0] <= 4
     assert sizes[1000] < 6 * sizes[250]
 
