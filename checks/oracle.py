@@ -458,6 +458,17 @@ ORACLE: dict[str, str] = {
                                      THEN Sampling_Date::DATE END AS d FROM physical)""",
     ),
     "compare_by_digests": _compare(),
+    "checked_write": _after(
+        "flawed",
+        """
+        SELECT 'null_value' AS "check", item, sum(missing::INTEGER)::BIGINT AS n
+        FROM (SELECT unnest(['Reference', 'NODCCODE', 'Number']) AS item,
+                     unnest([Reference IS NULL, NODCCODE IS NULL, Number IS NULL]) AS missing FROM flawed)
+        GROUP BY item HAVING sum(missing::INTEGER) > 0
+        UNION ALL SELECT 'split_without_level', 'Splitlevel', count(*) FROM flawed WHERE unsplit HAVING count(*) > 0
+        UNION ALL SELECT 'zero_count', 'Number', count(*) FROM flawed
+        WHERE Number = 0 AND NODCCODE NOT IN ('9998000000', '9999000000') HAVING count(*) > 0""",
+    ),
     "refreshed_conditions": _after(
         "refcond",
         "SELECT * REPLACE (round(Shannon_P5, 6) AS Shannon_P5, round(Shannon_P95, 6) AS Shannon_P95) FROM refcond",

@@ -37,6 +37,7 @@ from haulscore.operators import (
 )
 from haulscore.operators.compare import compare_by_digests
 from haulscore.operators.metrics import assemble, pick
+from haulscore.operators.quality import write_checked
 from haulscore.operators.states import (
     append_states,
     conditions_from_states,
@@ -320,6 +321,12 @@ def query_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(flawed, fx.species_with_copies(spark, sf_dir))
 
 
+def query_checked_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The record checks, counted while the raw records are written."""
+    path = _scratch(spark, "records")
+    return write_checked(fx.flawed_catch(spark, sf_dir), lambda frame: write_table(frame, path))
+
+
 def _damaged(spark: SparkSession, sf_dir: str) -> SurveyTables:
     return fx.replace_numbers(fx.survey(spark, sf_dir), fx.damaged_numbers(spark, sf_dir))
 
@@ -466,6 +473,7 @@ QUERIES: dict[str, Query] = {
     "refreshed_conditions": query_refreshed_conditions,
     "refreshed_years": query_refreshed_years,
     "refreshed_segments": query_refreshed_segments,
+    "checked_write": query_checked_write,
     "colocated_catch": query_colocated_catch,
     "colocated_segments": query_colocated_segments,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -10,10 +10,35 @@ from pyspark.sql import functions as F
 
 from ..constants import CLASS_CODES, NO_FISH, NO_GEAR_SET
 from ..functions.expressions import as_number, normalize_code
+from ..runtime import write_observed
 
 ATTRIBUTES = ("Sampling_Date", "Longitude", "Latitude", "Zone", "Grid", "bay_segment")
 
 
+def record_checks(code: Column) -> dict[tuple[str, str], Column]:
+    """The checks that look at one record alone; ``code`` is its repaired species code."""
+    split = as_number(F.col("Splittype")).isNotNull() & as_number(F.col("Splitlevel")).isNull()
+    return {
+        ("null_value", "Reference"): F.col("Reference").isNull(),
+        ("null_value", "NODCCODE"): code.isNull(),
+        ("null_value", "Number"): F.col("Number").isNull(),
+        ("null_value", "Sampling_Date"): F.col("Sampling_Date").isNull(),
+        ("split_without_level", "Splitlevel"): split,
+        ("zero_count", "Number"): (F.col("Number") == 0) & ~code.isin(NO_FISH, NO_GEAR_SET),
+    }
+
+
+def write_checked(catch: DataFrame, write: Callable[[DataFrame], None]) -> DataFrame:
+    """Write the catch table and give the report of the record checks, counted by the tasks that write: the table is computed once.
+
+    ``write`` runs one action on the frame it is given. The rows are those that ``quality_report`` has for these checks.
+    """
+    tests = record_checks(normalize_code(F.col("NODCCODE")))
+    counts = write_observed(catch, write, **{f"t{i}": F.count(F.when(test, 1)) for i, test in enumerate(tests.values())})
+    found = [(check, item, counts[f"t{i}"]) for i, (check, item) in enumerate(tests) if counts[f"t{i}"]]
+    return catch.sparkSession.createDataFrame(found, "check string, item string, n long")
+
+
 def quality_report(catch: DataFrame, species: DataFrame, attributes: Sequence[str] = ATTRIBUTES) -> DataFrame:
     """(check, item, n): how many rows, keys or hauls fail each check; a check that finds nothing has no row.
 
@@ -30,18 +55,7 @@ def quality_report(catch: DataFrame, species: DataFrame, attributes: Sequence[st
         ]
         return frame.agg(*sums).select(F.explode(F.array(*found)).alias("r")).select("r.*")
 
-    split = as_number(F.col("Splittype")).isNotNull() & as_number(F.col("Splitlevel")).isNull()
-    per_record = rows(
-        records,
-        {
-            ("null_value", "Reference"): F.col("Reference").isNull(),
-            ("null_value", "NODCCODE"): F.col("NODCCODE").isNull(),
-            ("null_value", "Number"): F.col("Number").isNull(),
-            ("null_value", "Sampling_Date"): F.col("Sampling_Date").isNull(),
-            ("split_without_level", "Splitlevel"): split,
-            ("zero_count", "Number"): (F.col("Number") == 0) & ~F.col("NODCCODE").isin(NO_FISH, NO_GEAR_SET),
-        },
-    )
+    per_record = rows(records, record_checks(F.col("NODCCODE")))
     odd_codes = rows(
         classes.filter(F.col("Include_Index") == "Y").filter(F.col("NODCCODE") != NO_FISH),
         {

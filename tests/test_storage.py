@@ -211,6 +211,22 @@ def test_scores_are_computed_once_and_named_after(spark, tmp_path):
     assert rows(read_csv(spark, path, schemas.SCORES)) == rows(frame)
 
 
+def test_records_are_checked_while_they_are_written(spark, tmp_path):
+    from haulscore.operators import quality_report
+    from haulscore.operators.quality import write_checked
+    from haulscore.sources import write_table
+    from helpers import species
+
+    hauls, records = some_hauls(spark, 12)
+    catch = records.join(hauls, "Reference", "left").withColumns({"Splittype": F.when(F.col("Number") == 2, "2"), "Number": F.when(F.col("Number") != 1, F.col("Number"))})
+    path = str(tmp_path / "records")
+    got = write_checked(catch, lambda frame: write_table(frame, path))
+    kinds = {r[0] for r in rows(got)}
+    assert kinds == {"null_value", "split_without_level", "zero_count"}
+    assert rows(got) == [r for r in rows(quality_report(catch, species(spark))) if r[0] in kinds]
+    assert rows(spark.read.parquet(path)) == rows(catch)
+
+
 def test_any_text_comes_back_whole(spark, tmp_path):
     texts = ["", " ", "NA", '"', '""', ",", "\n", "\r\n", "a\rb", "\\", '\\"', "\\N?", " lead", "trail ", 'x,"y"\nz', "#c", "é ü", None]
     frame = spark.createDataFrame([(i, t, None if i % 2 else "s") for i, t in enumerate(texts)], "i int, t string, u string")
