@@ -15,7 +15,7 @@ their phrases are sorted, trigger by trigger; equal ones stand side by side in c
 array of the dictionary or of the parse is built.
 
 Phrases around one trigger are told apart by 64-bit hashes, their strings byte by byte. Triggers with more than
-``MOST_PHRASES`` phrases are not gathered; their strings meet by 128-bit hashes, with the least place taken before the shuffle.
+``MOST_PHRASES`` phrases are not gathered (a gathered one costs a few hundred bytes of a worker); their strings meet by 128-bit hashes, with the least place taken before the shuffle.
 
 Null and empty texts have nothing to remove, nor has a text shorter than ``width``. Rows that repeat an id and a text are one document; rows
 that repeat only the id are ordered by a hash of the text. A null id comes first. Texts of any length are parsed in pieces.
@@ -190,6 +190,7 @@ def _cut(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBat
                         "doc": pa.array([doc.as_py()] * len(part), pa.int64()),
                         "v": pa.array([v.as_py()] * len(part), pa.int64()),
                         "lo": pa.array([p["lo"] for p in part], pa.int32()),
+                        "at": pa.array([p["at"] for p in part], pa.int32()),
                         "bytes": pa.array([raw[p["lo"] : p["hi"] + width] for p in part], pa.binary()),
                     }
                 )
@@ -202,17 +203,21 @@ def _spans(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def sorted_suffixes(group: list[tuple], width: int) -> list[tuple]:
-    """Spans of the strings of one trigger's phrases, given in corpus order, that an earlier phrase holds as well."""
-    strings, owner = [], []
-    for i, (_, _, _, content) in enumerate(group):
-        n = len(content) - width + 1
-        strings += [content[j : j + width] for j in range(n)]
-        owner += [(i, j) for j in range(n)]
-    order = sorted(range(len(strings)), key=strings.__getitem__)  # stable: equal suffixes stay in corpus order
-    repeated = sorted(owner[b] for a, b in zip(order, order[1:], strict=False) if strings[a] == strings[b])
+    """Spans of the strings of one trigger's phrases, given in corpus order, that an earlier phrase holds as well.
+
+    Equal strings lie at the same place around the trigger, so the strings of one place after another are sorted: at most one of each phrase is held.
+    """
+    ahead = [at - lo for _, _, lo, at, _ in group]
+    repeated = []
+    for before in range(max(ahead) + 1):  # bytes of a string before the trigger
+        found = [(i, ahead[i] - before) for i, row in enumerate(group) if 0 <= ahead[i] - before <= len(row[-1]) - width]
+        strings = [group[i][-1][j : j + width] for i, j in found]
+        order = sorted(range(len(strings)), key=strings.__getitem__)  # stable: equal strings stay in corpus order
+        repeated += [found[b] for a, b in zip(order, order[1:], strict=False) if strings[a] == strings[b]]
+    repeated.sort()
     out = []
     for i, j in repeated:
-        doc, v, lo, _ = group[i]
+        doc, v, lo = group[i][:3]
         if out and out[-1][:2] == (doc, v) and out[-1][3] == lo + j - 1:
             out[-1] = (doc, v, out[-1][2], lo + j)
         else:
@@ -225,7 +230,7 @@ def _match(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordB
     group, trigger = [], None
     for batch in batches:
         found = []
-        for g, *row in zip(*(batch.column(name).to_pylist() for name in ("g", "doc", "v", "lo", "bytes")), strict=True):
+        for g, *row in zip(*(batch.column(name).to_pylist() for name in ("g", "doc", "v", "lo", "at", "bytes")), strict=True):
             if g != trigger and group:
                 found += sorted_suffixes(group, width)
                 group = []
@@ -269,9 +274,9 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
 
     def cut_out(chosen: DataFrame) -> DataFrame:
         # Settled, so that the shuffles of phrases are gone from the disks before texts are shuffled.
-        listed = settle(dictionary.join(chosen.select("g"), "g").groupBy("doc", "v").agg(F.collect_list(F.struct("g", "lo", "hi")).alias("listed")), "listed")
+        listed = settle(dictionary.join(chosen.select("g"), "g").groupBy("doc", "v").agg(F.collect_list(F.struct("g", "lo", "hi", "at")).alias("listed")), "listed")
         texts = given.dropDuplicates(["doc", "v"]).join(listed, ["doc", "v"])
-        return texts.select("doc", "v", "text", "listed").mapInArrow(lambda b: _cut(b, width), "g long, doc long, v long, lo int, bytes binary")
+        return texts.select("doc", "v", "text", "listed").mapInArrow(lambda b: _cut(b, width), "g long, doc long, v long, lo int, at int, bytes binary")
 
     few = cut_out(triggers.where(F.col("n") <= most)).repartition("g").sortWithinPartitions("g", "doc", "v", "lo")
     spans = parse_table.where("at < 0").select("doc", "v", "lo", "hi").union(settle(few.mapInArrow(lambda b: _match(b, width), SPANS), "rims"))
