@@ -28,6 +28,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -72,19 +73,30 @@ def terms_of(raw: bytes, piece: int = PIECE) -> Counter:
 
 
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, source, term, n, docs), summed as far as a task can hold them."""
+    """(lang, source, term, n, docs), summed as far as a task can hold them.
+
+    When a task holds too many, the rare ones leave and the frequent half stays to the end, so a frequent term leaves each task as a row a source.
+    """
     held: dict[tuple[str, str], dict[bytes, int]] = {}
     size = 0
 
-    def hand_on() -> Iterator[pa.RecordBatch]:
-        for (lang, source), terms in held.items():
-            values = np.fromiter(terms.values(), np.int64, len(terms))
-            names = pa.array(list(terms), pa.binary()).cast(pa.string())
+    def hand_on(last: bool = False) -> Iterator[pa.RecordBatch]:
+        nonlocal size
+        counted = {group: np.fromiter(terms.values(), np.int64, len(terms)) for group, terms in held.items()}
+        docs = np.sort(np.concatenate([values // _DOC for values in counted.values()] or [np.zeros(0, np.int64)]))
+        # Terms of more documents than the middle one stay.
+        limit = docs[-1] if last and len(docs) else docs[len(docs) // 2] if len(docs) else 0
+        size = 0
+        for group, values in counted.items():
+            terms, leaves = held[group], values // _DOC <= limit
+            names = pa.array(list(compress(terms, leaves)), pa.binary()).cast(pa.string())
+            held[group] = dict(compress(terms.items(), ~leaves))
+            size += len(held[group])
+            gone = values[leaves]
             yield pa.RecordBatch.from_arrays(
-                [pa.repeat(lang, len(terms)), pa.repeat(source, len(terms)), names, pa.array(values % _DOC), pa.array(values // _DOC)],
+                [pa.repeat(group[0], len(gone)), pa.repeat(group[1], len(gone)), names, pa.array(gone % _DOC), pa.array(gone // _DOC)],
                 names=["lang", "source", "term", "n", "docs"],
             )
-        held.clear()
 
     for batch in batches:
         langs, sources = batch.column("lang"), batch.column("source")
@@ -100,14 +112,15 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 size += len(terms) - before
             if size > HELD:
                 yield from hand_on()
-                size = 0
-    yield from hand_on()
+    yield from hand_on(last=True)
 
 
 def term_index(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text", least_docs: int = LEAST_DOCS) -> DataFrame:
     """The term-major index: (lang, term, source, n, in_lang, leads) of kept terms; ``leads`` marks one row of each term."""
     slim = docs.select(*(F.coalesce(F.col(c), F.lit("")).alias(name) for name, c in (("lang", lang), ("source", source), ("text", text))))
-    counted = slim.mapInArrow(_term_counts, COUNTS).groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    # Summed in the tasks already: one shuffle by term then serves the sums, the window and the index.
+    dealt = slim.mapInArrow(_term_counts, COUNTS).repartition("lang", "term")
+    counted = dealt.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     of_term = Window.partitionBy("lang", "term")
     return counted.select(
         "lang",
