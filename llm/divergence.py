@@ -121,7 +121,9 @@ def term_index(docs: DataFrame, lang: str = "lang", source: str = "source", text
     # Summed in the tasks already: one shuffle by term then serves the sums, the window and the index.
     dealt = slim.mapInArrow(_term_counts, COUNTS).repartition("lang", "term")
     counted = dealt.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    of_term = Window.partitionBy("lang", "term")
+    # One order for all three, so that one sort serves them.
+    in_order = Window.partitionBy("lang", "term").orderBy("source")
+    of_term = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return counted.select(
         "lang",
         "term",
@@ -129,7 +131,7 @@ def term_index(docs: DataFrame, lang: str = "lang", source: str = "source", text
         "n",
         F.sum("n").over(of_term).alias("in_lang"),
         F.sum("docs").over(of_term).alias("in_docs"),
-        (F.row_number().over(of_term.orderBy("source")) == 1).alias("leads"),
+        (F.row_number().over(in_order) == 1).alias("leads"),
     ).where(F.col("in_docs") >= least_docs).drop("in_docs")
 
 
