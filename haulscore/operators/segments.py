@@ -56,19 +56,26 @@ def override_segments(
     )
 
 
+def _as_condition(test: Column) -> Column:
+    return F.exists(F.array(F.lit(True)), lambda _: test)
+
+
 def attach_segments(catch: DataFrame, sites: DataFrame, null_references: bool = True) -> DataFrame:
     """Catch records of the given sites with their segment, and one bare row per site without records.
 
-    A NULL zone or grid matches a NULL one; so does a NULL reference, unless ``null_references`` is off, which lets tables that
-    are stored by reference be joined where they lie. The matched part is an inner join, so adaptive execution can
+    A NULL zone or grid matches a NULL one; so does a NULL reference, unless ``null_references`` is off. Then the reference alone is the
+    key of the joins, and tables that are stored by it are joined where they lie. The matched part is an inner join, so adaptive execution can
     split a hot haul on either side, which it could not do on the inner side of an outer join.
     """
     right = sites.select(*SITE_KEYS, "bay_segment")
 
     def same(left: str) -> Column:
-        plain = () if null_references else ("Reference",)
-        tests = [F.col(f"{left}.{k}") == F.col(f"s.{k}") if k in plain else F.col(f"{left}.{k}").eqNullSafe(F.col(f"s.{k}")) for k in SITE_KEYS]
-        return reduce(lambda a, b: a & b, tests)
+        tests = {k: F.col(f"{left}.{k}").eqNullSafe(F.col(f"s.{k}")) for k in SITE_KEYS}
+        if not null_references:
+            # Inside a lambda an equality is a condition on the joined rows, not one more key to shuffle by.
+            tests = {k: _as_condition(test) for k, test in tests.items()}
+            tests["Reference"] = F.col(f"{left}.Reference") == F.col("s.Reference")
+        return reduce(lambda a, b: a & b, tests.values())
 
     columns = [F.col(f"c.{c}") for c in catch.columns]
     matched = catch.alias("c").join(right.alias("s"), same("c"), "inner").select(*columns, "s.bay_segment")

@@ -20,8 +20,6 @@ from ..runtime import lookup_join, settle
 # A haul with more records is stored apart.
 HOT_RECORDS = 1_000_000
 PARTS = ("hauls", "records", "hot_hauls", "hot_records")
-# Joins on the bucket key and more columns stay where the buckets are.
-WITHIN_BUCKETS = "spark.sql.requireAllClusterKeysForCoPartition"
 
 
 @dataclass(frozen=True)
@@ -71,9 +69,8 @@ def _table_name(folder: str, name: str) -> str:
 def open_colocated(spark: SparkSession, folder: str, buckets: int, key: str = "Reference") -> Colocated:
     """The tables that ``write_colocated`` has stored, also in another session.
 
-    Sets ``requireAllClusterKeysForCoPartition`` to false in the session, so that joins on the key and more columns use the buckets too.
+    A join uses the buckets if the key alone is its key: test further columns as conditions.
     """
-    spark.conf.set(WITHIN_BUCKETS, "false")
     found = {}
     for name in PARTS:
         path = f"{folder}/{name}"

@@ -41,7 +41,6 @@ def some_hauls(spark, n=60):
 @pytest.mark.parametrize("hot", [1_000_000, 20])
 def test_catch_of_stored_hauls_is_joined_where_it_lies(spark, conf, tmp_path, hot):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
-    conf("spark.sql.requireAllClusterKeysForCoPartition", "true")
     hauls, records = some_hauls(spark)
     folder = str(tmp_path / "stored")
     write_colocated(hauls, records, folder, buckets=4, hot_records=hot)
@@ -62,7 +61,6 @@ def test_catch_of_stored_hauls_is_joined_where_it_lies(spark, conf, tmp_path, ho
 @pytest.mark.parametrize("hot", [1_000_000, 20])
 def test_segments_are_attached_where_records_lie(spark, conf, tmp_path, hot):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
-    conf("spark.sql.requireAllClusterKeysForCoPartition", "true")
     hauls, records = some_hauls(spark)
     catch = settle(build_catch(select_samples(hauls), records, species_list(spark)), "catch")
     sites = hauls.select("Reference", "Longitude", "Latitude", "Zone", F.when(F.col("Grid") == 3, 4).otherwise(F.col("Grid")).alias("Grid"), F.lit("HB").alias("bay_segment"))
@@ -77,8 +75,7 @@ def test_segments_are_attached_where_records_lie(spark, conf, tmp_path, hot):
         assert "Exchange hashpartitioning" not in plan
 
 
-def test_stored_tables_open_in_another_session(spark, conf, tmp_path):
-    conf("spark.sql.requireAllClusterKeysForCoPartition", "true")
+def test_stored_tables_open_in_another_session(spark, tmp_path):
     hauls, records = some_hauls(spark, 10)
     folder = str(tmp_path / "stored")
     write_colocated(hauls, records, folder, buckets=3)
