@@ -166,6 +166,18 @@ def test_a_hot_key_of_a_large_lookup_is_spread(spark, conf):
     assert len(spread) >= 5 and max(r["count"] for r in spread) < 500
 
 
+def test_copies_of_a_large_lookup_are_not_broadcast(spark, conf, tmp_path):
+    """Spark estimates a look-up by its compressed files, however many rows and copies they unfold to."""
+    conf("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+    path = str(tmp_path / "lookup")
+    spark.range(50_000).select("id", F.lit("a name that repeats").alias("name")).write.parquet(path)
+    fact = spark.range(60_000).select((F.col("id") % 55_000).alias("id"))
+    for how, count in (("inner", 55_000), ("left", 60_000)):
+        joined = lookup_join(fact, spark.read.parquet(path), ["id"], how, max_bytes=0)
+        assert joined.count() == count and joined.where("name IS NOT NULL").count() == 55_000
+        assert "Broadcast" not in initial_plan(joined) and "Broadcast" not in plan_of(joined)
+
+
 def test_a_haul_of_many_different_totals_is_spread_over_tasks(spark, monkeypatch):
     """A third of all rows in one haul, each total its own: no task ranks more than a few blocks of it, and the metrics stay what they are."""
     ids = spark.range(0, 9000, numPartitions=4)
