@@ -15,7 +15,8 @@ peers without them, and a peer's terms against a group without them, comes from
 with these two corrections taken back.
 
 Distribution. The index is cut into blocks of terms by hash, so no block grows with one source or one language; each block carries the totals
-of all groups and yields a dense row for each group, and the rows are summed. Inside a block, at most ``CHUNK`` postings are worked on at once.
+of all groups and yields a dense row for each group, and the rows are summed. A block has about ``CHUNK`` postings, so the rows to be summed are as many as
+the result's for each ``CHUNK`` postings, and do not grow with the session's partitions. Inside a block, at most ``CHUNK`` postings are worked on at once.
 A task holds the totals of one language's groups (a few numbers for each) and never its terms.
 
 Null text, language and source count as empty. Rows that repeat count as often as they stand there. Texts of any length are read in pieces. An empty
@@ -262,10 +263,13 @@ def _scatter(batches: Iterator[pa.RecordBatch], top: int) -> Iterator[pa.RecordB
 
 
 def divergence(docs: DataFrame, lang: str = "lang", source: str = "source", text: str = "text", least_docs: int = LEAST_DOCS, top: int = TOP, blocks: int | None = None) -> DataFrame:
-    """(lang, source, part, item, value, rank) as the module says. ``blocks``: how many blocks of terms, by default the session's shuffle partitions."""
+    """(lang, source, part, item, value, rank) as the module says.
+
+    ``blocks``: how many blocks of terms, by default one for every ``CHUNK`` postings, but not more than the session's shuffle partitions.
+    """
     spark = docs.sparkSession
-    count = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     index = settle(term_index(docs, lang, source, text, least_docs), "term-index")
+    count = blocks or max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-index.count() // CHUNK)))
     totals = settle(group_totals(docs, index, lang, source), "group-totals")
     heads = totals.select(
         F.explode(F.sequence(F.lit(0), F.lit(count - 1))).alias("block"), "lang", F.lit(0).alias("kind"), F.lit("").alias("term"), "source", F.col("total").alias("n"), F.col("lang_total").alias("aux"), "kept"
@@ -273,7 +277,8 @@ def divergence(docs: DataFrame, lang: str = "lang", source: str = "source", text
     postings = index.select(
         F.pmod(F.xxhash64("term"), F.lit(count)).cast("int").alias("block"), "lang", F.lit(1).alias("kind"), "term", "source", "n", F.col("in_lang").alias("aux"), F.lit(0).cast("long").alias("kept")
     )
-    dealt = heads.unionByName(postings).repartition(count, "block").sortWithinPartitions("block", "lang", "kind", "term", "source")
+    # By number, so that each block has a task of its own.
+    dealt = heads.unionByName(postings).repartitionById(count, "block").sortWithinPartitions("block", "lang", "kind", "term", "source")
     parts = settle(dealt.mapInArrow(lambda batches: _scatter(batches, top), PARTS), "divergence-parts")
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     pairs = parts.where("part = 'pair'").groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value"))

@@ -73,6 +73,29 @@ def test_values_and_ranks(spark, monkeypatch, blocks, chunk):
     assert not [r for r in got if r[0] == "alone"]
 
 
+def test_partial_rows_do_not_grow_with_the_partitions(spark, monkeypatch, conf):
+    """A row for each group and peer, and the terms of each group, for each block; few postings are one block, in however many partitions the session shuffles."""
+    conf("spark.sql.shuffle.partitions", "40")
+    written = {}
+    plain = divergence.settle
+
+    def seen(frame_, name):
+        written[name] = plain(frame_, name)
+        return written[name]
+
+    monkeypatch.setattr(divergence, "settle", seen)
+    rows = some_documents()
+    got = found(divergence.divergence(frame(spark, rows)))
+    assert got == literal([r[1:4] for r in rows])
+    assert written["divergence-parts"].count() == len(got)
+    # More postings are more blocks, each in a task of its own, up to the session's partitions.
+    monkeypatch.setattr(divergence, "CHUNK", 100)
+    blocks = -(-written["term-index"].count() // 100)
+    assert 2 <= blocks <= 40
+    assert found(divergence.divergence(frame(spark, rows))) == got
+    assert len(written["divergence-parts"].inputFiles()) <= blocks
+
+
 def test_partial_counts_of_a_task_add_up(spark, monkeypatch):
     monkeypatch.setattr(divergence, "HELD", 20)
     monkeypatch.setattr(divergence, "PIECE", 64)
